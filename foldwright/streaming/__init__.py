@@ -1,0 +1 @@
+"""Nothing here on purpose: every job in scope is a batch job over stored tables."""
