@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a CSV with a header. Without a schema the types are inferred, which reads the data twice."""
+    """Read a CSV with a header.
+
+    Columns of ``schema`` are found by name, in any order, and cast; a cell that does
+    not fit becomes null. Other columns stay strings. Without a schema the types are
+    inferred, which reads the data twice.
+    """
     reader = spark.read.option("header", True)
     if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        return reader.option("inferSchema", True).csv(path)
+    texts = reader.csv(path)
+    missing = [f.name for f in schema.fields if f.name not in texts.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return texts.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields})
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
