@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType
 
 from foldwright.functions.scores import exp_sigmoid, positive_share, threshold_predict
 from foldwright.operators.folds import fold_assign
+from foldwright.operators.metrics import fold_metrics
 from foldwright.operators.prep import fit_prep
 from foldwright.plans.features import CATEGORICAL, NUMERIC, feature_table
 from foldwright.sources.applicants import applicants
@@ -36,6 +37,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_table(applicants(spark, sf_dir), APPROVED_STATUS)
 
 
+def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table written once, for fits that read it several times."""
+    return stage(features(spark, sf_dir), "features")
+
+
 def model_label() -> Column:
     """A label that can be learned: over 35, turned around for every fifth order."""
     return ((F.col("AGE_AT_APPLICATION") > 35) != (F.col("row_key") % 5 == 0)).cast("int")
@@ -62,7 +68,7 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("LEARNED_LABEL").cast("double").alias("label"),
         (F.col("AGE_AT_APPLICATION") > 35).cast("double").alias("flag"),
     )
-    return rows.withColumn("features", array_to_vector(F.array("flag")))
+    return stage(rows.withColumn("features", array_to_vector(F.array("flag"))), "flagged")
 
 
 def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +95,6 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from foldwright.operators.metrics import fold_metrics
-
     return fold_metrics(rule_predictions(spark, sf_dir), ["model", "fold"])
 
 

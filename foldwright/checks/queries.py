@@ -25,6 +25,7 @@ from foldwright.checks.inputs import (
     rule_lines,
     rule_metrics,
     rule_predictions,
+    staged_features,
     vectors,
 )
 from foldwright.functions import (
@@ -63,7 +64,7 @@ from foldwright.sources import (
     table,
     to_local,
 )
-from foldwright.staging import new_path, stage
+from foldwright.staging import new_path, stage, stage_small_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -401,7 +402,7 @@ def fold_split(spark, d):
 def _rate_predictor(train: DataFrame, test: DataFrame) -> DataFrame:
     """The training share of label 1 in the row's own group; one half for an unseen group."""
     group = ["MARITAL_STATUS", "AGE_GROUP"]
-    rates = train.groupBy(*group).agg(F.avg("label").alias("rate"))
+    rates = stage_small_side(train.groupBy(*group).agg(F.avg("label").alias("rate")), "rates")
     p1 = F.coalesce("rate", F.lit(0.5))
     joined = test.join(rates, group, "left")
     return joined.withColumns({"p1": p1, "score": p1, "prediction": threshold_predict(p1)})
@@ -480,13 +481,13 @@ def roc_curve(spark, d):
 
 @query
 def string_index(spark, d):
-    indexed = prep.string_index(features(spark, d), CATEGORICAL)
+    indexed = prep.string_index(staged_features(spark, d), CATEGORICAL)
     return indexed.select("row_key", *[f"{c}_IDX" for c in CATEGORICAL])
 
 
 @query
 def one_hot(spark, d):
-    encoded = prep.one_hot(prep.string_index(features(spark, d), CATEGORICAL[:1]), CATEGORICAL[:1])
+    encoded = prep.one_hot(prep.string_index(staged_features(spark, d), CATEGORICAL[:1]), CATEGORICAL[:1])
     return prep.slot_columns(encoded, "MARITAL_STATUS_VEC", [f"m{i}" for i in range(5)], ["row_key"])
 
 
@@ -495,7 +496,7 @@ def _slots(n: int) -> list[str]:
 
 
 def _assembled(spark, d) -> DataFrame:
-    encoded = prep.one_hot(prep.string_index(features(spark, d), CATEGORICAL), CATEGORICAL)
+    encoded = prep.one_hot(prep.string_index(staged_features(spark, d), CATEGORICAL), CATEGORICAL)
     return prep.assemble(encoded, [*NUMERIC, *[f"{c}_VEC" for c in CATEGORICAL]], "features_unscaled")
 
 
@@ -516,7 +517,7 @@ def standardize(spark, d):
 
 @query
 def prep_pipeline(spark, d):
-    rows = features(spark, d)
+    rows = staged_features(spark, d)
     ready = prep.fit_prep(rows, NUMERIC, CATEGORICAL).transform(rows)
     names = prep.feature_names(ready)
     return rounded(prep.slot_columns(ready, "features", _slots(len(names)), ["row_key"]))

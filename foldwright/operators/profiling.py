@@ -110,7 +110,7 @@ def top_n_with_others(df: DataFrame, name: str, value: str, n: int = 5) -> DataF
     """``(name, value, position)``: the ``n`` names with the largest sums, then the rest as ``Others``.
 
     There is no ``Others`` row when at most ``n`` names exist. Only the top ``n``
-    rows are broadcast.
+    rows are broadcast, and only they pass through the window that numbers them.
     """
     sums = df.groupBy(F.col(name).cast("string").alias(name)).agg(F.sum(value).alias(value))
     top = sums.orderBy(F.desc(value), name).limit(n)

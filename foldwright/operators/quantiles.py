@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.operators.ordered import running_totals
-from foldwright.staging import stage
+from foldwright.staging import stage_small_side
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -46,10 +46,10 @@ def _quartiles(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _with_quartiles(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join each value to its group's quartiles, a null group to its own.
 
-    The quartiles are staged first: their written size then decides whether they
+    The quartiles are staged and counted first. Up to a fixed number of groups they
     are broadcast, so that one large group is not shuffled into a single task.
     """
-    stats = stage(_quartiles(counted, keys), "quartiles")
+    stats = stage_small_side(_quartiles(counted, keys), "quartiles")
     stats = stats.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     same = F.lit(True)
     for k in keys:

@@ -12,6 +12,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
 
 _SETTING = "spark.checkpoint.dir"
 _areas: dict[str, str] = {}
@@ -56,6 +59,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_small_side(df: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Stage one side of a join and mark it for broadcast when it has at most ``max_rows`` rows.
+
+    The count is read from the written table, so it is exact and cheap. A larger
+    side stays unmarked: the join then shuffles, and splits hot keys adaptively.
+    """
+    table = stage(df, name)
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def release(spark: SparkSession) -> bool:
     """Delete everything this application staged. Tables handed out become unreadable."""
     area = _areas.pop(spark.sparkContext.applicationId, None)
