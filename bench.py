@@ -16,8 +16,10 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parent
 sys.path.insert(0, str(ROOT))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from foldwright.checks import queries as q  # noqa: E402
-from foldwright.checks.inputs import prepared  # noqa: E402
+from foldwright.checks.inputs import labelled  # noqa: E402
 from foldwright.operators import clustering, metrics  # noqa: E402
 from foldwright.operators.folds import fold_assign, stage_folds  # noqa: E402
 from foldwright.plans import study  # noqa: E402
@@ -57,6 +59,15 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def learned(spark, folder):
+    return labelled(spark, folder).withColumn("label", F.col("LEARNED_LABEL").cast("double"))
+
+
+def cluster_table(ready, k: int):
+    assigned = clustering.kmeans_fit(ready, k, 100).transform(ready).drop("features")
+    return clustering.cluster_profile(stage(assigned, "clusters"), ["AGE_AT_APPLICATION", "APPLICANT_FAMILY_COUNT"], "label")
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -75,7 +86,7 @@ def main() -> None:
         timed(name, lambda: drain(registered[name](spark, folder)))
 
     settings = study.Settings(label="label", parallelism=min(8, int(cores)) if cores != "*" else 8)
-    ready = timed("prepare", lambda: prepared(spark, folder))
+    ready, names = timed("prepare", lambda: study.prepare(stage(learned(spark, folder), "learned"), settings))
     narrow = ready.select("row_key", "label", "features")
     folded = timed("stage_folds", lambda: stage_folds(fold_assign(narrow, settings.k, settings.key)))
     models = {"cv_logistic": study.LOGISTIC, "cv_bagging": study.BAGGING, "cv_adaboost": study.ADABOOST}
@@ -86,19 +97,10 @@ def main() -> None:
     for part in parts.values():
         together = part if together is None else together.unionByName(part)
     timed("cv_metrics", lambda: drain(metrics.fold_metrics(together, ["model", "fold"])))
-    timed("gbt_importance", lambda: study.importance_study(ready, settings)["feature_importance"].count())
+    timed("gbt_importance", lambda: study.importance_study(ready, names, settings)["feature_importance"].count())
     sweep = timed("kmeans_sweep", lambda: clustering.choose_k(ready, settings.ks, parallelism=settings.parallelism))
     best = sweep.filter("chosen").first()["k"]
-    timed(
-        "kmeans_profile",
-        lambda: drain(
-            clustering.cluster_profile(
-                stage(clustering.kmeans_fit(ready, best, 100).transform(ready).drop("features", "features_unscaled"), "c"),
-                ["AGE_AT_APPLICATION", "APPLICANT_FAMILY_COUNT"],
-                "APPROVAL_LABEL",
-            )
-        ),
-    )
+    timed("kmeans_profile", lambda: drain(cluster_table(ready, best)))
     release(spark)
     line = {
         "metric": "total_query_time",

@@ -11,6 +11,7 @@ from foldwright.plans.study import (
     cluster_study,
     importance_study,
     model_study,
+    prepare,
     profile_tables,
     run_study,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "importance_study",
     "kfold_scores",
     "model_study",
+    "prepare",
     "profile_tables",
     "run_study",
 ]

@@ -14,7 +14,7 @@ from foldwright.operators.boosting import adaboost_predictor
 from foldwright.operators.folds import FitPredict, cross_validate, fold_assign, stage_folds
 from foldwright.operators.learners import estimator_predictor
 from foldwright.operators.metrics import FOLD_METRICS, fold_metrics, score_dict
-from foldwright.staging import stage
+from foldwright.staging import kept, stage
 
 ENSEMBLE_METRICS = ["auc", "accuracy", "weighted_f1"]
 
@@ -76,8 +76,9 @@ def kfold_scores(
     rows = df.select(*columns)
     folded = fold_assign(rows, k, key) if key else fold_assign(rows, k, mode="row_id")
     fit_predict = estimator_predictor(model, label) if isinstance(model, Estimator) else model
-    scored = cross_validate(stage_folds(folded), fit_predict, k, parallelism=parallelism, staged=True)
-    predictions = stage(scored.select(F.lit("model").alias("model"), *scored.columns), "predictions")
+    with kept(stage_folds(folded)) as table:
+        scored = cross_validate(table, fit_predict, k, parallelism=parallelism, staged=True)
+        predictions = stage(scored.select(F.lit("model").alias("model"), *scored.columns), "predictions")
     return score_dict(fold_metrics(predictions, ["model", "fold"], metrics), "model")
 
 

@@ -23,7 +23,7 @@ from foldwright.operators.quantiles import boxplot_stats
 from foldwright.plans.features import BUCKETED, CATEGORICAL, NUMERIC, feature_steps, feature_table
 from foldwright.sources.applicants import APPROVED
 from foldwright.sources.inspect import stage_counts
-from foldwright.staging import stage
+from foldwright.staging import kept, spread, stage
 
 BAGGING, ADABOOST, LOGISTIC = "Custom Bagging", "Custom AdaBoost", "Logistic Regression"
 MODELS = [BAGGING, ADABOOST, LOGISTIC]
@@ -57,7 +57,8 @@ def cross_validated(
 ) -> DataFrame:
     """Staged ``(model, fold, key, label, prediction, p1, score)`` of the named models.
 
-    ``folded`` is a staged table with ``features``, ``label`` and ``fold``.
+    ``folded`` is a staged table with ``features``, ``label`` and ``fold``. It is kept
+    in memory until the predictions are written, as every fit reads it several times.
     """
     predictors = {
         BAGGING: bagging_predictor(settings.num_models, label=label),
@@ -65,12 +66,13 @@ def cross_validated(
         LOGISTIC: estimator_predictor(logreg(label=label), label=label),
     }
     parts = []
-    for name in models:
-        scored = cross_validate(
-            folded, predictors[name], settings.k, settings.key, parallelism=settings.parallelism, staged=True
-        )
-        parts.append(scored.select(F.lit(name).alias("model"), *scored.columns))
-    return stage(reduce(DataFrame.unionByName, parts), "predictions")
+    with kept(folded):
+        for name in models:
+            scored = cross_validate(
+                folded, predictors[name], settings.k, settings.key, parallelism=settings.parallelism, staged=True
+            )
+            parts.append(scored.select(F.lit(name).alias("model"), *scored.columns))
+        return stage(reduce(DataFrame.unionByName, parts), "predictions")
 
 
 def model_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
@@ -94,10 +96,12 @@ def model_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[st
     }
 
 
-def importance_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
+def importance_study(
+    prepared: DataFrame, names: Sequence[str], settings: Settings = Settings()
+) -> dict[str, DataFrame]:
     """Rank the features by boosted trees over all rows, and sum up all but the top five."""
-    model = gbt_fit(prepared, label=settings.label, max_iter=settings.gbt_iterations)
-    ranking = feature_importance(model, feature_names(prepared))
+    model = gbt_fit(spread(prepared.select(settings.label, "features")), label=settings.label, max_iter=settings.gbt_iterations)
+    ranking = feature_importance(model, names)
     return {
         "feature_importance": ranking,
         "importance_shares": prof.top_n_with_others(ranking, "feature", "importance", 5),
@@ -109,7 +113,8 @@ def cluster_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[
     sweep = clusters.choose_k(prepared, settings.ks, parallelism=settings.parallelism)
     best = sweep.filter("chosen").select("k").first()["k"]
     model = clusters.kmeans_fit(prepared, best, max_iter=100)
-    assigned = stage(model.transform(prepared).drop("features", "features_unscaled"), "clusters")
+    profiled = model.transform(prepared).select("cluster", settings.label, *NUMERIC[:2], *CATEGORICAL)
+    assigned = stage(profiled, "clusters")
     return {
         "silhouettes": sweep,
         "cluster_shares": prof.share_of_total(assigned, "cluster"),
@@ -119,6 +124,13 @@ def cluster_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[
     }
 
 
+def prepare(table: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, list[str]]:
+    """Staged rows with ``features`` and the slot names; the columns in between are not written."""
+    ready = fit_prep(table, NUMERIC, CATEGORICAL).transform(table)
+    kept = list(dict.fromkeys([*settings.key, settings.label, *NUMERIC, *CATEGORICAL, "features"]))
+    return stage(ready.select(*kept), "prepared"), feature_names(ready)
+
+
 def run_study(raw: DataFrame, settings: Settings = Settings(), approved: str = APPROVED) -> dict[str, DataFrame]:
     """Every result table of the study from raw applications.
 
@@ -126,11 +138,11 @@ def run_study(raw: DataFrame, settings: Settings = Settings(), approved: str = A
     that follows. Call ``staging.release`` after the results are written.
     """
     table = stage(feature_table(raw, approved), "features")
-    prepared = stage(fit_prep(table, NUMERIC, CATEGORICAL).transform(table), "prepared")
+    prepared, names = prepare(table, settings)
     return {
         "stage_counts": stage_counts(raw, feature_steps()),
         **profile_tables(table, settings.label),
         **model_study(prepared, settings),
-        **importance_study(prepared, settings),
+        **importance_study(prepared, names, settings),
         **cluster_study(prepared, settings),
     }

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A staged table with a partition for every core, for a fit that runs on its own.
+
+    A table with fewer splits than cores is small, so writing it once more costs
+    little; any larger table is returned as it is, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return stage(table.repartition(cores), "spread")
+
+
+@contextmanager
+def kept(table: DataFrame) -> Iterator[DataFrame]:
+    """Hold a staged table in memory, and on disk beyond that, for a block that reads it many times.
+
+    A part lost with its executor is read again from the staged files.
+    """
+    table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield table
+    finally:
+        table.unpersist()
+
+
 def stage_small_side(df: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Stage one side of a join and mark it for broadcast when it has at most ``max_rows`` rows.
 
