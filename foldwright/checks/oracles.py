@@ -256,6 +256,38 @@ MAJORITY = f"""WITH {DERIVED},
 sides AS (SELECT flag, count(*) AS n, avg(label) AS share FROM labelled GROUP BY flag)
 SELECT CAST(flag AS DOUBLE) AS flag, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, n FROM sides"""
 
+
+def weighted_majority_rounds(n: int) -> str:
+    """Boosting over the (age group, label) cells: a learner predicts each group's heavier label."""
+    ctes = [
+        "c0 AS MATERIALIZED (SELECT AGE_GROUP, label, count(*) / sum(count(*)) OVER () AS w FROM labelled GROUP BY AGE_GROUP, label)"
+    ]
+    picks = []
+    for t in range(n):
+        ctes.append(
+            f"m{t} AS MATERIALIZED (SELECT *, label <> CASE WHEN sum(w * label) OVER g > sum(w) OVER g / 2 THEN 1 ELSE 0 END AS missed "
+            f"FROM c{t} WINDOW g AS (PARTITION BY AGE_GROUP))"
+        )
+        ctes.append(f"e{t} AS MATERIALIZED (SELECT sum(CASE WHEN missed THEN w ELSE 0 END) AS err FROM m{t})")
+        ctes.append(
+            f"c{t + 1} AS MATERIALIZED (SELECT AGE_GROUP, label, w / CASE WHEN missed THEN 2 * err ELSE 2 * (1 - err) END AS w "
+            f"FROM m{t} CROSS JOIN e{t})"
+        )
+        picks.append(f"SELECT {t} AS round, round(err, 6) AS err, round(0.5 * ln((1 - err) / err), 6) AS alpha FROM e{t}")
+    return f"WITH {DERIVED}, " + ", ".join(ctes) + " " + " UNION ALL ".join(picks)
+
+
+# Each fold's flag is scored by the share of label 1 in the other folds.
+HELD_OUT = f"""{DERIVED},
+folded AS (SELECT flag, label, {fold('CAST(row_key AS VARCHAR)', 5)} AS fold FROM labelled),
+cells AS (SELECT fold, flag, sum(label) AS pos, count(*) AS n FROM folded GROUP BY fold, flag),
+held AS (
+  SELECT fold, CAST(flag AS DOUBLE) AS flag, n,
+         (sum(pos) OVER f - pos) AS pos_out, (sum(n) OVER f - n) AS n_out, (sum(pos) OVER f - pos) / (sum(n) OVER f - n) AS share
+  FROM cells WINDOW f AS (PARTITION BY flag)
+)"""
+HELD_PREDICTION = "CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction"
+
 RULE_MISSES = [
     f"SELECT {t} AS rule, avg(CASE WHEN v{i} <> label THEN 1.0 ELSE 0.0 END) AS err FROM rule_lines"
     for i, t in enumerate(QUANTITY_RULES)
@@ -307,6 +339,7 @@ def statements() -> dict[str, str]:
         "arith": f"SELECT {LINE_KEY}, round(l_quantity + l_linenumber, 8) AS plus, round(l_extendedprice - l_quantity, 8) AS minus, "
         "round(l_quantity * l_linenumber, 8) AS times, round(l_extendedprice / l_quantity, 8) AS over, l_orderkey % 7 AS modulo, "
         "round(-l_quantity, 8) AS negated, 1.5::DOUBLE AS literal FROM lineitem",
+        "literal": "SELECT c_custkey, 1.0::DOUBLE AS one, 'x' AS letter FROM customer",
         "exp_sigmoid": f"SELECT {LINE_KEY}, round(1 / (1 + exp(-(l_quantity / 10 - 2.5::DOUBLE))), 6) AS p1 FROM lineitem",
         "row_id": "SELECT count(*) AS n, count(*) AS n_ids FROM orders",
         "to_prob_vec": f"SELECT {LINE_KEY}, round(1 - l_discount, 6) AS p0, round(l_discount, 6) AS p1 FROM lineitem",
@@ -416,6 +449,23 @@ UNION ALL SELECT CAST(3 + (SELECT count(*) FROM marital) + gender_idx AS INTEGER
         "boost_reweight": f"{r}, e AS (SELECT avg(CASE WHEN v2 <> label THEN 1.0 ELSE 0.0 END) AS err FROM rule_lines) "
         f"SELECT {LINE_KEY}, round(CASE WHEN v2 <> label THEN 0.5 / err ELSE 0.5 / (1 - err) END, 6) AS relative_weight FROM rule_lines CROSS JOIN e",
         "boost_rounds": boosting_rounds(),
+        "adaboost_fit": weighted_majority_rounds(3),
+        "cross_validate_logistic_by_flag": f"WITH {HELD_OUT} SELECT fold, flag, {HELD_PREDICTION}, n, round(share, 3) AS p1 FROM held",
+        "cross_validate_fold_scope_by_flag": f"WITH {HELD_OUT} SELECT fold, flag, {HELD_PREDICTION}, n, round(share, 3) AS p1 FROM held",
+        "feature_importance_by_flag": f"""{d},
+sides AS (
+  SELECT 'large_family' AS feature, 0 AS slot, count(*) AS n, var_pop(label) AS spread FROM labelled GROUP BY APPLICANT_FAMILY_COUNT > 3
+  UNION ALL SELECT 'older', 1, count(*), var_pop(label) FROM labelled GROUP BY AGE_AT_APPLICATION > 35
+),
+leftover AS (SELECT feature, slot, sum(n * spread) AS inside FROM sides GROUP BY feature, slot),
+won AS (SELECT feature, slot, CASE WHEN inside = min(inside) OVER () THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance FROM leftover)
+SELECT CAST(row_number() OVER (ORDER BY importance DESC, slot) AS INTEGER) AS rank, feature, importance FROM won""",
+        "cross_validate_bagging_by_flag": f"WITH {HELD_OUT} SELECT fold, flag, {HELD_PREDICTION}, n, "
+        "CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS p1 FROM held",
+        "cross_validate_adaboost_by_flag": f"""WITH {HELD_OUT},
+errors AS (SELECT *, sum(least(pos_out, n_out - pos_out)) OVER e / sum(n_out) OVER e AS err FROM held WINDOW e AS (PARTITION BY fold))
+SELECT fold, flag, {HELD_PREDICTION}, n,
+       round(1 / (1 + exp(-0.5 * ln((1 - err) / err) * CASE WHEN share > 0.5 THEN 1 ELSE -1 END)), 3) AS p1 FROM errors""",
         "adaboost_first_round": f"""{d},
 sides AS (SELECT flag, count(*) AS n, avg(label) AS share FROM labelled GROUP BY flag),
 miss AS (SELECT sum(n * least(share, 1 - share)) / sum(n) AS err FROM sides),
@@ -425,6 +475,7 @@ SELECT CAST(flag AS DOUBLE) AS flag, CAST(vote AS DOUBLE) AS prediction, round(1
         f"SELECT {LINE_KEY}, round(margin, 6) + 0.0 AS margin, round(1 / (1 + exp(-margin)), 6) AS p1, "
         "CASE WHEN 1 / (1 + exp(-margin)) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM s",
         # clustering
+        "kmeans_fit": f"{d} SELECT CAST(flag AS DOUBLE) AS flag, CAST(flag AS DOUBLE) AS center, count(*) AS n FROM labelled GROUP BY flag",
         "nearest_center": """WITH slots AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
 centers AS (SELECT label, i, avg(x) AS c FROM slots GROUP BY label, i),
 distances AS (SELECT vec_id, centers.label AS center, sum((x - c) ^ 2) AS d FROM slots JOIN centers USING (i) GROUP BY vec_id, centers.label),

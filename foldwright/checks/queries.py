@@ -268,6 +268,11 @@ def arith(spark, d):
     )
 
 
+@query
+def literal(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.lit(1.0).alias("one"), F.lit("x").alias("letter"))
+
+
 @query_named("exp_sigmoid")
 def exp_sigmoid_lines(spark, d):
     lines = table(spark, d, "lineitem")
@@ -629,15 +634,25 @@ def boost_rounds(spark, d):
         predict=lambda rule, df: df.withColumn("prediction", F.col(rule)),
         rounds=len(QUANTITY_RULES),
     )
+    return rounded(_rounds_table(spark, rounds))
+
+
+def _rounds_table(spark, rounds) -> DataFrame:
     rows = [(t, r.err, r.alpha) for t, r in enumerate(rounds)]
-    return rounded(spark.createDataFrame(rows, "round int, err double, alpha double"))
+    return spark.createDataFrame(rows, "round int, err double, alpha double")
 
 
 @query
 def adaboost_fit(spark, d):
-    rounds = boosting.adaboost_fit(prepared(spark, d), rounds=5)
-    rows = [(t, r.err, r.alpha) for t, r in enumerate(rounds)]
-    return rounded(spark.createDataFrame(rows, "round int, err double, alpha double"))
+    """Boosting with one slot per age group: each learner predicts every group's weighted majority."""
+    rows = labelled(spark, d).select("AGE_GROUP", F.col("LEARNED_LABEL").alias("label"))
+    grouped = prep.one_hot(prep.string_index(stage(rows, "groups"), ["AGE_GROUP"]), ["AGE_GROUP"])
+    return rounded(_rounds_table(spark, boosting.adaboost_fit(grouped, rounds=3, features="AGE_GROUP_VEC")))
+
+
+@query
+def adaboost_fit_prepared(spark, d):
+    return rounded(_rounds_table(spark, boosting.adaboost_fit(prepared(spark, d), rounds=5)))
 
 
 @query
@@ -667,6 +682,19 @@ def feature_importances(spark, d):
     return rounded(feature_importance(model, prep.feature_names(rows)))
 
 
+@query
+def feature_importance_by_flag(spark, d):
+    """One split over two 0/1 features: all importance goes to the one that splits better."""
+    rows = labelled(spark, d).select(
+        F.col("LEARNED_LABEL").alias("label"),
+        (F.col("AGE_AT_APPLICATION") > 35).cast("double").alias("older"),
+        (F.col("APPLICANT_FAMILY_COUNT") > 3).cast("double").alias("large_family"),
+    )
+    names = ["large_family", "older"]
+    points = stage(prep.assemble(rows, names, "features"), "points")
+    return rounded(feature_importance(learners.gbt_fit(points, max_iter=1, max_depth=1), names))
+
+
 def _study(models, **changes) -> Query:
     def run(spark, d):
         settings = study.Settings(label="label", **changes)
@@ -683,6 +711,40 @@ _registered["cross_validate_bagging"] = _study([study.BAGGING], k=3)
 _registered["cross_validate_adaboost"] = _study([study.ADABOOST], k=3, rounds=3)
 
 
+def _by_fold_and_flag(spark, d, fit_predict, k: int = 5) -> DataFrame:
+    """Cross-validate a learner on the one 0/1 feature and sum up each fold's predictions."""
+    folded = folds.fold_assign(flagged(spark, d), k, "row_key")
+    scored = folds.cross_validate(folded, fit_predict, k, ["flag"], parallelism=4)
+    sums = scored.groupBy("fold", "flag", "prediction").agg(F.count("*").alias("n"), F.avg("p1").alias("p1"))
+    return rounded(sums, 3)
+
+
+@query
+def cross_validate_logistic_by_flag(spark, d):
+    return _by_fold_and_flag(spark, d, learners.estimator_predictor(learners.logreg(reg=0.0)))
+
+
+@query
+def cross_validate_bagging_by_flag(spark, d):
+    return _by_fold_and_flag(spark, d, bagging.bagging_predictor(5, max_depth=1))
+
+
+@query
+def cross_validate_adaboost_by_flag(spark, d):
+    return _by_fold_and_flag(spark, d, boosting.adaboost_predictor(rounds=1))
+
+
+@query
+def cross_validate_fold_scope_by_flag(spark, d):
+    """Scaling fitted on each training part; it does not move an unregularized fit."""
+    folded = folds.fold_assign(flagged(spark, d).drop("features"), 5, "row_key")
+    learner = learners.estimator_predictor(learners.logreg(reg=0.0))
+    scaling = prep.prep_pipeline(["flag"], [])
+    scored = folds.cross_validate(folded, learner, 5, ["flag"], scaling, fit_scope="fold", parallelism=4)
+    sums = scored.groupBy("fold", "flag", "prediction").agg(F.count("*").alias("n"), F.avg("p1").alias("p1"))
+    return rounded(sums, 3)
+
+
 @query
 def cross_validate_fold_scope(spark, d):
     """Preparation fitted on each training part only."""
@@ -704,6 +766,16 @@ def cross_validate_fold_scope(spark, d):
 
 @query
 def kmeans_fit(spark, d):
+    """Two clusters of a 0/1 feature: the centers are its values."""
+    rows = flagged(spark, d)
+    model = clustering.kmeans_fit(rows, 2)
+    centers = F.array(*[F.lit(float(c[0])) for c in model.clusterCenters()])
+    placed = model.transform(rows).withColumn("center", F.get(centers, F.col("cluster")))
+    return placed.groupBy("flag", "center").agg(F.count("*").alias("n"))
+
+
+@query
+def kmeans_fit_prepared(spark, d):
     rows = prepared(spark, d)
     return clustering.cluster_sizes(clustering.kmeans_fit(rows, 4, 50).transform(rows))
 
