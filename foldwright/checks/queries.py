@@ -110,7 +110,8 @@ def row_count_tables(spark, d):
 
 @query_named("stage_counts")
 def row_count_stages(spark, d):
-    return stage_counts(applicants(spark, d), feature_steps())
+    raw = applicants(spark, d)
+    return stage_counts(raw, feature_steps(raw))
 
 
 @query_named("preview")

@@ -13,6 +13,7 @@ from foldwright.operators.cleaning import (
     cast_to_date,
     drop_null_subset,
     filter_range,
+    has_values,
 )
 from foldwright.sources.applicants import APPROVED
 
@@ -70,11 +71,8 @@ def feature_table(df: DataFrame, approved: str = APPROVED) -> DataFrame:
     return filter_range(derive_features(clean(df), approved), "AGE_AT_APPLICATION", *AGE_LIMITS)
 
 
-def feature_steps() -> dict[str, Column]:
-    """The row filters of ``feature_table`` as conditions on raw rows, for ``stage_counts``."""
-    complete = F.lit(True)
-    for name in REQUIRED:
-        complete = complete & F.col(name).isNotNull()
+def feature_steps(df: DataFrame) -> dict[str, Column]:
+    """The row filters of ``feature_table`` as conditions on the raw rows ``df``, for ``stage_counts``."""
     dated = months_between_years(F.to_date("APPLICATION_DATE"), F.to_date("APPLICANT_BIRTH_DATE"))
     valid = F.coalesce(dated.between(*AGE_LIMITS), F.lit(False))
-    return {"loaded": F.lit(True), "complete": complete, "valid_age": valid}
+    return {"loaded": F.lit(True), "complete": has_values(df, REQUIRED), "valid_age": valid}

@@ -140,7 +140,7 @@ def run_study(raw: DataFrame, settings: Settings = Settings(), approved: str = A
     table = stage(feature_table(raw, approved), "features")
     prepared, names = prepare(table, settings)
     return {
-        "stage_counts": stage_counts(raw, feature_steps()),
+        "stage_counts": stage_counts(raw, feature_steps(raw)),
         **profile_tables(table, settings.label),
         **model_study(prepared, settings),
         **importance_study(prepared, names, settings),

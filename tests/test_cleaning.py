@@ -66,7 +66,7 @@ def test_feature_rules(spark, csv):
     assert derived[7]["FAMILY_SIZE_CATEGORY"] == "Very Large (7+)"
     kept = feature_table(raw)
     assert sorted(r["APPLICANT_FAMILY_COUNT"] for r in kept.collect()) == [0, 2, 7]
-    counts = {r["stage"]: r["n"] for r in stage_counts(raw, feature_steps()).collect()}
+    counts = {r["stage"]: r["n"] for r in stage_counts(raw, feature_steps(raw)).collect()}
     assert counts == {"loaded": 7, "complete": 5, "valid_age": 3}
 
 
@@ -93,6 +93,13 @@ def test_bad_dates_and_numbers(spark):
         cleaning.cast_int(df, "x", strict=True).collect()
 
 
+def test_missing_values_are_null_or_nan(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c"), (2.0, None)], "x double, s string")
+    assert [r["s"] for r in cleaning.drop_null_subset(df, ["x"]).collect()] == ["a", None]
+    assert cleaning.drop_null_subset(df, ["x", "s"]).exceptAll(df.dropna(subset=["x", "s"])).count() == 0
+    assert cleaning.drop_null_subset(df, ["x", "s"]).count() == 1
+
+
 def test_buckets_of_odd_values(spark):
     df = spark.createDataFrame([(-1,), (0,), (5,), (None,)], "n int")
     rules = [("==", 0, "none"), ("<=", 2, "few")]
