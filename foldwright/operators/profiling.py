@@ -110,11 +110,13 @@ def top_n_with_others(df: DataFrame, name: str, value: str, n: int = 5) -> DataF
     """``(name, value, position)``: the ``n`` names with the largest sums, then the rest as ``Others``.
 
     There is no ``Others`` row when at most ``n`` names exist. Only the top ``n``
-    rows are broadcast, and only they pass through the window that numbers them.
+    rows are broadcast, and only they are gathered to be numbered.
     """
     sums = df.groupBy(F.col(name).cast("string").alias(name)).agg(F.sum(value).alias(value))
     top = sums.orderBy(F.desc(value), name).limit(n)
-    ranked = top.withColumn("position", F.row_number().over(Window.orderBy(F.desc(value), name)))
+    in_order = F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("_low"), name, value)))
+    numbered = top.agg(in_order.alias("_top")).select(F.posexplode("_top").alias("_place", "_row"))
+    ranked = numbered.select(f"_row.{name}", f"_row.{value}", (F.col("_place") + 1).alias("position"))
     taken = F.broadcast(top.select(F.col(name).alias("_taken")))
     rest = sums.join(taken, F.col(name).eqNullSafe(F.col("_taken")), "left_anti")
     others = (
