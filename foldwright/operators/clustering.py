@@ -71,11 +71,16 @@ def choose_k(
     features: str = "features",
     parallelism: int = 1,
 ) -> DataFrame:
-    """``(k, silhouette, chosen)``: one fit and one score per k, on a table that the caller staged."""
+    """``(k, silhouette, chosen)``: one fit and one score per k, on a table that the caller staged.
+
+    The score is null where the rows have fewer than two distinct points.
+    """
     narrow = as_vector(df.select(features), features)
 
-    def score(k: int) -> tuple[int, float]:
+    def score(k: int) -> tuple[int, float | None]:
         model = kmeans_fit(narrow, k, max_iter, seed, features)
+        if len(model.clusterCenters()) < 2:
+            return k, None
         return k, float(silhouette(model.transform(narrow), features=features))
 
     rows = in_parallel(df.sparkSession, score, list(ks), parallelism)

@@ -74,6 +74,11 @@ def test_k_is_chosen_by_silhouette(spark, points):
     assert [r["k"] for r in clustering.mark_best_k(tied).collect() if r["chosen"]] == [2]
 
 
+def test_equal_points_have_no_silhouette(spark):
+    same = spark.range(20).select(array_to_vector(F.array(F.lit(1.0), F.lit(2.0))).alias("features"))
+    assert [(r["k"], r["silhouette"]) for r in clustering.choose_k(same, [2, 3]).collect()] == [(2, None), (3, None)]
+
+
 def test_clusters_of_the_chosen_k(points):
     vectors = points.withColumn("features", array_to_vector("point"))
     assigned = clustering.kmeans_fit(vectors, 3).transform(vectors)
