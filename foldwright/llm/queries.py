@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwright.llm import language_id, mixing, sharding, url_filter
+from foldwright.llm import block_search, cover_search, language_id, mixing, sharding, tool_calls, toxicity, trie_join, url_filter
 from foldwright.llm.bpe import token_digest
-from foldwright.llm.common import id_crc
+from foldwright.llm.common import WORD, id_crc
 from foldwright.llm.shipping import ship_code
 from foldwright.llm.statements import SQL
 
@@ -35,6 +35,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_cover_tree(spark, d):
+    return cover_search.top_products(table(spark, d, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 @query
 def op2_byte_shards(spark, d):
     placed = sharding.shard_by_bytes(table(spark, d, "documents"), 24)
@@ -49,6 +54,56 @@ def op2_byte_shards(spark, d):
     )
 
 
+@query
+def op3_toxicity(spark, d):
+    """Scores of all documents; the machine learns from labels outside the held-out fold."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    model = toxicity.train(docs, labels.filter(id_crc("doc_id") % 3 != 1))
+    scored = docs.select("doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), toxicity.toxicity_score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.PREDICT_FROM).cast("int"))
+
+
+#: The tool that the derived calls name, and its arguments.
+ANSWER_SCHEMA = {"answer": {"words": ("integer", True), "topic": ("string", True), "note": ("integer", False)}}
+
+
+def call_messages(turns: DataFrame) -> DataFrame:
+    """Tool messages derived from plain turns, as the sample conversations hold none.
+
+    A user turn becomes a call that depends on the turn at half its number, if that is a call; the
+    assistant turn after it becomes the result. Some calls lack an argument, have one of a wrong type
+    or one too many, by the number of words.
+    """
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
+    name = F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"))
+    arguments = F.struct(
+        F.when(words % 5 != 0, words).alias("words"),
+        F.col("role").alias("topic"),
+        F.when(words % 7 == 0, words.cast("string")).alias("note"),
+        F.when(words % 11 == 0, words).alias("extra"),
+    )
+    half = F.floor(F.col("turn") / 2)
+    after = F.when(half < F.col("turn"), F.array(F.concat(name, half)))
+    call = F.struct(F.concat(name, F.col("turn")).alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"), after.alias("after"))
+    result = F.struct(F.concat(name, F.col("turn") - 1).alias("tool_call_id"), F.struct(words.alias("words")).alias("content"))
+    asked = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    text = F.when(F.col("role") == "user", asked).when(F.col("role") == "assistant", F.to_json(result)).otherwise(F.col("text"))
+    role = F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+@query
+def op4_tool_calls(spark, d):
+    messages = call_messages(table(spark, d, "conversations"))
+    return tool_calls.link_tool_calls(messages, ANSWER_SCHEMA)
+
+
+@query
+def op5_trie_jaccard(spark, d):
+    found = trie_join.similar_components(table(spark, d, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op6_mix_sources(spark, d):
     return mixing.mix_sources(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +114,11 @@ def language_model(docs: DataFrame) -> language_id.LanguageModel:
     return language_id.train(docs.filter(id_crc("doc_id") % 4 != 2))
 
 
+@query
+def op7_block_ann(spark, d):
+    return block_search.nearest_by_product(table(spark, d, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 @query
 def op8_language_id(spark, d):
     docs = table(spark, d, "documents")

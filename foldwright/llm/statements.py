@@ -15,7 +15,64 @@ def _term(term: str) -> str:
 _STRICT = " OR ".join(_term(t) for t in STRICT_TERMS)
 _SOFT = " + ".join(f"{_term(t)}::INT" for t in SOFT_TERMS)
 
+
+
+def _usable(component: str) -> str:
+    return f"""SELECT vec_id AS id, list_transform(embedding, lambda x: {component}) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
 SQL = {
+    "op1_cover_tree": f"""
+WITH rows AS (
+  {_usable("floor(256 * x::DOUBLE)")}),
+scored AS (
+  SELECT q.id AS query_id, r.id AS vec_id, list_inner_product(q.v, r.v)::BIGINT AS score
+  FROM rows q JOIN rows r ON q.id <> r.id WHERE q.id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op4_tool_calls": f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS n FROM conversations),
+calls AS (
+  SELECT conv_id, turn, n, 'c' || conv_id || '-' || turn AS call_id, role FROM turns WHERE role = 'user'),
+links AS (
+  SELECT c.conv_id, c.turn, p.turn AS parent
+  FROM calls c JOIN calls p ON c.conv_id = p.conv_id AND p.turn = c.turn // 2 AND p.turn < c.turn),
+levels AS (
+  WITH RECURSIVE walk AS (
+    SELECT conv_id, turn, 0 AS level FROM calls
+    WHERE (conv_id, turn) NOT IN (SELECT conv_id, turn FROM links)
+    UNION ALL SELECT l.conv_id, l.turn, w.level + 1 FROM walk w JOIN links l ON l.conv_id = w.conv_id AND l.parent = w.turn)
+  SELECT * FROM walk),
+results AS (
+  SELECT conv_id, turn - 1 AS asked, min(turn) AS result_turn, min(n) AS n, count(*) AS n_results
+  FROM turns WHERE role = 'assistant' GROUP BY ALL),
+judged AS (
+  SELECT c.*, l.level, r.result_turn, coalesce(r.n_results, 0)::BIGINT AS n_results, r.n AS answered,
+         list_filter([CASE WHEN c.n % 7 = 0 THEN 'type of note' END, CASE WHEN c.n % 5 = 0 THEN 'missing words' END,
+                      CASE WHEN c.n % 11 = 0 THEN 'unknown extra' END], lambda p: p IS NOT NULL) AS wrong
+  FROM calls c JOIN levels l ON c.conv_id = l.conv_id AND c.turn = l.turn
+  LEFT JOIN results r ON r.conv_id = c.conv_id AND r.asked = c.turn)
+SELECT conv_id, call_id, 'answer' AS name, turn AS call_turn, level, result_turn, n_results,
+       array_to_string(wrong, '; ') AS problems, len(wrong) = 0 AS valid,
+       '{{"arguments":{{' || CASE WHEN n % 11 = 0 THEN '"extra":' || n || ',' ELSE '' END
+         || CASE WHEN n % 7 = 0 THEN '"note":"' || n || '",' ELSE '' END || '"topic":"' || role || '"'
+         || CASE WHEN n % 5 <> 0 THEN ',"words":' || n ELSE '' END
+         || '}},"id":"' || call_id || '","name":"answer","result":'
+         || CASE WHEN answered IS NULL THEN 'null' ELSE '{{"words":' || answered || '}}' END || '}}' AS json
+FROM judged""",
+    "op7_block_ann": f"""
+WITH rows AS (
+  SELECT * FROM ({_usable("x::DOUBLE")}) WHERE len(list_filter(v, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.id AS query_id, r.id AS vec_id, list_inner_product(q.v, r.v) AS score
+  FROM rows q JOIN rows r ON q.id <> r.id WHERE q.id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     # The mix: targets by water-filling, then the cut at 36 bits of the document's hash.
     "op6_mix_sources": f"""
 WITH docs AS (
@@ -61,6 +118,28 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
        (d.size * (p.whole + (d.hash < coalesce(c.threshold, 0))::INT))::BIGINT AS taken
 FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source""",
+    "op5_trie_jaccard": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ABC}), '{WORD}') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+  FROM words),
+sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, s.n, t.n
+  HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))),
+reach AS (
+  SELECT x AS doc_id, x AS hit FROM links
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.hit = l.x)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(m.least, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(hit) AS least FROM reach GROUP BY doc_id) m ON m.doc_id = d.doc_id""",
     "op10_url_filter": f"""
 WITH parts AS (
   SELECT page_id, translate(coalesce(url, ''), {_ABC}) AS low,
