@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from foldwright.staging import stage
 
-ORDER, DECAY, SPAN = 4, 0.8, 9
-LEAST = 0.35
+ORDER, DECAY, SPAN = 4, 0.5, 7
+#: Kernel values below this count as 0; the others are raised to a power, which is a kernel again.
+LEAST, POWER = 0.55, 4
 TRAINING_ROWS = 20_000
 LANDMARKS, CONTRASTS = 128, 64
 PREDICT_FROM = 0.7
@@ -37,7 +38,9 @@ PREDICT_FROM = 0.7
 _SIGNS = 32
 _LONGEST = 48
 _KEPT_WORDS = 300_000
-_SENTENCE = re.compile(r"[.!?\n]+")
+_PIECE = 1 << 20
+_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
+_MARKS = ".,;:!?"
 #: Letters that stand alone one after another: "i d i o t".
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 
@@ -49,7 +52,7 @@ def letters_of(word: str) -> str:
 
 def sentence_words(sentence: str) -> set[str]:
     """Distinct words of a sentence, and runs of letters that stand alone put together."""
-    words = set(sentence.split())
+    words = {w.strip(_MARKS) for w in sentence.split()}
     words.update("".join(m.group().split()) for m in _SPELLED.finditer(sentence))
     return words
 
@@ -98,9 +101,14 @@ def _vector(word: str) -> dict[int, float]:
 
 @dataclass
 class Landmarks:
-    """Words whose kernel values describe other words."""
+    """Words whose kernel values describe other words.
+
+    The first ``telling`` mark toxic texts, the rest are harmless words that resemble those. A word
+    counts only if it resembles a telling one.
+    """
 
     words: list[str]
+    telling: int
     column: np.ndarray = field(repr=False, init=False)
     table: np.ndarray = field(repr=False, init=False)
     most: np.ndarray = field(repr=False, init=False)
@@ -113,21 +121,25 @@ class Landmarks:
         self.table = np.zeros((len(self.words), len(subs) + 1), dtype=np.float32)
         for i, v in enumerate(vectors):
             self.table[i, self.column[list(v)]] = list(v.values())
-        self.most = self.table.max(axis=0) if len(self.words) else np.zeros(1, dtype=np.float32)
+        self.most = self.table[: self.telling].max(axis=0) if self.telling else np.zeros(1, dtype=np.float32)
         self._known: dict[str, np.ndarray | None] = {}
 
     def __getstate__(self) -> dict:
-        return {"words": self.words}
+        return {"words": self.words, "telling": self.telling}
 
     def __setstate__(self, state: dict) -> None:
-        self.words = state["words"]
+        self.words, self.telling = state["words"], state["telling"]
         self.__post_init__()
 
+    def learn(self, texts: list[str]) -> None:
+        """Measure all words of lower-cased texts that are not known yet, together."""
+        if len(self._known) > _KEPT_WORDS:
+            self._known.clear()
+        self.similar(set().union(*map(sentence_words, texts)))
+
     def similar(self, words: set[str]) -> dict[str, np.ndarray | None]:
-        """Kernel values with the landmarks, or None where all are below ``LEAST``; kept for later calls."""
+        """Kernel values with the landmarks, or None if no telling one reaches ``LEAST``; kept for later calls."""
         known = self._known
-        if len(known) > _KEPT_WORDS:
-            known.clear()
         by_size: dict[int, list[tuple[str, str]]] = {}
         for word in words:
             if word in known:
@@ -139,41 +151,58 @@ class Landmarks:
                 if len(piece) >= ORDER:
                     by_size.setdefault(len(piece), []).append((word, piece))
         for pairs in by_size.values():
-            for start in range(0, len(pairs), 2048):
-                self._measure(pairs[start : start + 2048])
+            for start in range(0, len(pairs), 1024):
+                self._measure(pairs[start : start + 1024])
         return known
 
     def _measure(self, pairs: list[tuple[str, str]]) -> None:
         subs, weights = _subsequences([piece for _, piece in pairs])
         columns = self.column[subs]
-        bound = self.most[columns] @ weights / np.sqrt((weights**2).sum())
-        for i in np.flatnonzero(bound >= LEAST).tolist():
+        length = np.sqrt((weights**2).sum())  # of a word that repeats no subsequence; others are longer
+        for i in np.flatnonzero(self.most[columns] @ weights >= LEAST * length).tolist():
+            met = np.flatnonzero(columns[i])
+            values = self.table[:, columns[i, met]] @ weights[met]
+            if values[: self.telling].max() < LEAST * length:
+                continue
             _, inverse = np.unique(subs[i], return_inverse=True)
-            own = np.sqrt((np.bincount(inverse, weights) ** 2).sum())
-            met = columns[i] > 0
-            values = self.table[:, columns[i][met]] @ weights[met] / own
-            values[values < LEAST] = 0
-            if values.any():
+            values = values / np.sqrt((np.bincount(inverse, weights) ** 2).sum())
+            values = np.where(values < LEAST, 0, values**POWER).astype(np.float32)
+            if values[: self.telling].any():
                 word = pairs[i][0]
                 before = self._known[word]
                 self._known[word] = values if before is None else np.maximum(before, values)
 
-    def sentences(self, text: str) -> np.ndarray:
-        """One row of values for each sentence of the text in which a word resembles a landmark."""
-        lowered = text.lower()
-        known = self.similar(sentence_words(lowered))
+    def sentences(self, lowered: str) -> np.ndarray:
+        """One row of values for each sentence of a lower-cased text in which a word resembles a landmark."""
+        whole = sentence_words(lowered)
+        known = self.similar(whole)
+        suspects = [w for w in whole if known[w] is not None]
         rows = []
-        if any(known.get(w) is not None for w in sentence_words(lowered)):
-            for sentence in _SENTENCE.split(lowered):
-                # Words that end a sentence with a sign are words of their own here.
+        for sentence in _SENTENCE.split(lowered) if suspects else ():
+            # A word spelled letter by letter is no part of the sentence as it stands.
+            if any(w in sentence for w in suspects) or _SPELLED.search(sentence):
                 words = sentence_words(sentence)
                 values = self.similar(words)
-                found = [values[w] for w in words if values.get(w) is not None]
+                found = [values[w] for w in words if values[w] is not None]
                 if found:
                     rows.append(np.max(found, axis=0))
         return np.array(rows, dtype=np.float64).reshape(-1, len(self.words))
 
 
+def measured(landmarks: Landmarks, texts: list[str]) -> Iterator[np.ndarray]:
+    """The sentences of each text; the words of about a million signs are measured together."""
+    first = 0
+    while first < len(texts):
+        last, signs = first, 0
+        while last < len(texts) and (last == first or signs + len(texts[last]) <= _PIECE):
+            signs += len(texts[last])
+            last += 1
+        lowered = [t.lower() for t in texts[first:last]]
+        landmarks.learn(lowered)
+        yield from map(landmarks.sentences, lowered)
+        first = last
+
+
 @dataclass
 class ToxicityModel:
     landmarks: Landmarks
@@ -183,13 +212,13 @@ class ToxicityModel:
     slope: float
     offset: float
 
-    def score(self, text: str) -> float:
-        """Probability of the worst sentence; a text without a suspicious one scores as an empty text."""
-        rows = self.landmarks.sentences(text) if text else ()
-        margin = self.bias
-        if len(rows):
-            margin = max(margin, float((rows @ self.nystroem @ self.weights).max() + self.bias))
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40))))
+    def scores(self, texts: list[str]) -> list[float]:
+        """Probability of the worst sentence of each; a text without a suspicious one scores as an empty text."""
+        margins = np.full(len(texts), self.bias)
+        for i, rows in enumerate(measured(self.landmarks, texts) if self.landmarks.words else ()):
+            if len(rows):
+                margins[i] = max(self.bias, float((rows @ self.nystroem @ self.weights).max() + self.bias))
+        return (1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -40, 40)))).tolist()
 
 
 # -- training -----------------------------------------------------------------------------------
@@ -235,15 +264,13 @@ def _resembling(landmarks: Landmarks):
     return find
 
 
-def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, contrasts: int = CONTRASTS) -> list[str]:
-    """Words that occur far more often in toxic texts, the most telling first, none twice in near form.
-
-    To them come harmless words that resemble them, the most frequent first, so that the machine can
+def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, contrasts: int = CONTRASTS) -> Landmarks:
+    """Words that occur far more often in toxic texts, the most telling first, none twice in near form. To them come harmless words that resemble them, the most frequent first, so that the machine can
     tell the two apart.
     """
     bad, n = (int(x or 0) for x in sample.agg(F.sum("label"), F.count("*")).first())
     if not bad or bad == n:
-        return []
+        return Landmarks([], 0)
     counts = sample.mapInPandas(_word_counts, "word string, bad bigint, n bigint").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     counts = stage(counts, "word-counts")
     lift = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("n") - F.col("bad") + 0.5) / (n - bad + 1))
@@ -258,15 +285,16 @@ def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, contrasts: int =
             vectors.append(vector)
         if len(chosen) == most:
             break
+    telling = len(chosen)
     if chosen:
         harmless = counts.filter((F.col("n") >= 3) & (F.col("bad") * 2 * n <= F.col("n") * 3 * bad))
-        near = harmless.mapInPandas(_resembling(Landmarks(chosen)), "word string, n bigint, near double").filter("near >= 0.5")
+        near = harmless.mapInPandas(_resembling(Landmarks(chosen, telling)), "word string, n bigint, near double").filter("near > 0")
         chosen += [r["word"] for r in near.orderBy((F.col("n") * F.col("near")).desc(), "word").limit(contrasts).collect()]
-    return chosen
+    return Landmarks(chosen, telling)
 
 
 def _nystroem(landmarks: Landmarks) -> np.ndarray:
-    kernel = (landmarks.table @ landmarks.table.T).astype(np.float64)
+    kernel = (landmarks.table @ landmarks.table.T).astype(np.float64) ** POWER
     values, vectors = np.linalg.eigh(kernel)
     return vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
 
@@ -310,12 +338,9 @@ def _worst_sentences(landmarks: Landmarks):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, label in zip(batch["text"], batch["label"], strict=True):
-                found = landmarks.sentences(text)
-                if len(found):
-                    rows.append((label, found[found.sum(axis=1).argmax()].tolist()))
-                else:
-                    rows.append((label, []))
+            for found, label in zip(measured(landmarks, batch["text"].tolist()), batch["label"], strict=True):
+                worst = found[:, : landmarks.telling].sum(axis=1).argmax() if len(found) else None
+                rows.append((label, [] if worst is None else found[worst].tolist()))
             yield pd.DataFrame(rows, columns=["label", "values"])
 
     return find
@@ -328,7 +353,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, key: st
     of toxic labels (0.5 / (n + 1) without any label at all).
     """
     sample = stage(training_sample(docs, labels, rows, key, text, label), "toxic-sample")
-    landmarks = Landmarks(choose_landmarks(sample))
+    landmarks = choose_landmarks(sample)
     if not landmarks.words:
         bad, n = (int(x or 0) for x in sample.agg(F.sum("label"), F.count("*")).first())
         share = (bad + 0.5) / (n + 1) if bad else 0.5 / (n + 1)
@@ -354,6 +379,6 @@ def toxicity_score(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
         for texts in batches:
-            yield pd.Series([own.score(t) if isinstance(t, str) else own.score("") for t in texts], dtype="float64")
+            yield pd.Series(own.scores([t if isinstance(t, str) else "" for t in texts]), dtype="float64")
 
     return score(F.col(text))
