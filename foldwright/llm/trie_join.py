@@ -6,10 +6,12 @@ meet only through those prefixes:
 
 1. A table of hashed counts over all shingles of all texts (fixed size) puts frequent shingles last
    in the order, so that passages which many documents share do not bring them together.
-2. Texts with equal sets are one class; only classes take part from here on.
+2. Texts with equal sets are one class; only classes take part from here on. Prefixes are a little
+   longer than needed for one common shingle: with l more, similar sets share l more. A class with
+   fewer shared shingles than that is alone, and its text is not looked at again.
 3. Classes that share a prefix shingle belong to the cell of the smallest of them. All shingles with
    the same smallest class form one cell, so a pair of near copies meets once and not in every
-   shingle they share. Large cells are cut into blocks, each with that smallest class in it.
+   shingle they share. Large cells are cut into blocks, each with the cell's smallest class in it.
 4. In a block the sets are stored in a trie, most frequent shingle first, so that near copies share
    long paths. A probe walks it once, shares the overlap counted so far between all sets below a
    node, and leaves a subtree as soon as its remaining lengths cannot reach the threshold. Pairs that
@@ -25,7 +27,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwright.llm.common import mixed
@@ -36,6 +38,8 @@ from foldwright.staging import stage
 SKETCH_BITS = 20
 SLICE_BITS = 12
 BLOCK = 512
+#: Shingles added to a prefix, in percent of the set; the more, the fewer chance meetings.
+EXTRA = 5
 BROADCAST_BYTES = 32 << 20
 _CLASS_SHIFT = 58
 
@@ -86,7 +90,13 @@ def ordered_set(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _prefix_size(size: int, percent: int) -> int:
-    return size - (percent * size + 99) // 100 + 1 if size else 0
+    """Two similar sets share at least ``1 + EXTRA %`` of the smaller one within prefixes of this size."""
+    return min(size, size - (percent * size + 99) // 100 + 1 + size * EXTRA // 100)
+
+
+def _least_shared(size: Column, percent: int) -> Column:
+    """What a set of this size shares with any similar one within the prefixes, the smallest partner included."""
+    return 1 + F.floor(F.ceil(size * percent / 100) * EXTRA / 100)
 
 
 def _signature(hashes: np.ndarray) -> int:
@@ -101,12 +111,17 @@ def _described(width: int, percent: int, classes) -> Callable:
     """Set size, signature and prefix of every text."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = classes.value
+        table, met = classes.value, set()
         for batch in batches:
             rows = []
-            for hashes in shingle_sets(batch["text"].tolist(), width):
-                prefix = ordered_set(hashes, table)[: _prefix_size(len(hashes), percent)]
-                rows.append((len(hashes), _signature(hashes), prefix.view(np.int64)))
+            for key, hashes in zip(batch["key"], shingle_sets(batch["text"].tolist(), width), strict=True):
+                node = _signature(hashes)
+                prefix = hashes[:0]
+                if node not in met and not pd.isna(key):
+                    # Copies within a task need their prefix once.
+                    met.add(node)
+                    prefix = ordered_set(hashes, table)[: _prefix_size(len(hashes), percent)]
+                rows.append((len(hashes), node, prefix.view(np.int64)))
             made = pd.DataFrame(rows, columns=["n_shingles", "node", "prefix"])
             made.insert(0, "key", batch["key"].array)
             yield made
@@ -284,9 +299,9 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85, key:
     schema = "key bigint, n_shingles bigint, node bigint, prefix array<bigint>"
     described = stage(texts.mapInPandas(_described(width, percent, classes), schema), "shingles")
     named = described.filter("key is not null and n_shingles > 0")
-    reps = stage(named.groupBy("node", "n_shingles").agg(F.min("key").alias("rep"), F.any_value("prefix").alias("prefix")), "classes")
+    reps = stage(named.groupBy("node", "n_shingles").agg(F.min("key").alias("rep")), "classes")
 
-    labels = _links(texts, reps, classes, width, percent)
+    labels = _links(texts, named, reps, classes, width, percent)
     rooted = reps.select("node", "n_shingles", "rep").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     wanted = rooted.join(least, "root").select("node", "n_shingles", F.col("rep").alias("class_id"), "component_id")
@@ -299,20 +314,39 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85, key:
     return joined.select(F.col("key").alias(key), "n_shingles", shown("class_id"), shown("component_id"))
 
 
-def _links(texts: DataFrame, reps: DataFrame, classes, width: int, percent: int) -> DataFrame:
+def _cells(named: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """``hub, node, anchor, blocks``: classes that may be similar to another one of the cell."""
+    tokens = named.select("node", F.explode("prefix").alias("token"))
+    order = Window.partitionBy("token").orderBy("node")
+    marked = tokens.select(
+        "node",
+        F.first("node").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hub"),
+        F.lead("node").over(order).alias("next"),
+    )
+    met = marked.filter("node <> hub or next <> hub")
+    pairs = stage(met.groupBy("hub", "node").agg(F.count("*").alias("shared")), "pairs")
+    totals = pairs.groupBy("node").agg(F.sum("shared").alias("shared")).join(reps.select("node", "n_shingles"), "node")
+    able = totals.filter(F.col("shared") >= _least_shared(F.col("n_shingles"), percent)).select("node", "n_shingles")
+    cells = stage(pairs.drop("shared").join(able, "node"), "cells")
+    sizes = cells.groupBy("hub").agg(
+        F.count("*").alias("n"), F.min("node").alias("anchor"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
+    )
+    apart = (F.col("n") == 2) & (F.col("least") * 100 < F.col("most") * percent)
+    kept = sizes.filter((F.col("n") >= 2) & ~apart).select("hub", "anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    return cells.select("hub", "node").distinct().join(kept, "hub")
+
+
+def _links(texts: DataFrame, named: DataFrame, reps: DataFrame, classes, width: int, percent: int) -> DataFrame:
     """``node, root`` of the classes that are linked with another one."""
-    tokens = reps.select("node", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
-    cells = stage(tokens.join(shared.select("token", "hub"), "token").select("hub", "node").distinct(), "cells")
-    sizes = cells.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     one = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
-    where = F.when(F.col("hub") == F.col("node"), all_blocks).otherwise(F.array(one))
-    members = stage(cells.join(sizes, "hub").select("hub", "node", "blocks", F.explode(where).alias("block")), "members")
+    where = F.when(F.col("anchor") == F.col("node"), all_blocks).otherwise(F.array(one))
+    cells = _cells(named, reps, percent)
+    members = stage(cells.select("hub", "node", "anchor", "blocks", F.explode(where).alias("block")), "members")
 
     met = members.select("node").distinct().join(reps.select("node", "rep"), "node").select(F.col("rep").alias("key")).distinct()
     chosen = texts.join(_small(stage(met, "met"), 32), "key", "left_semi").select("text")
-    items = stage(chosen.mapInPandas(_set_bytes(width, classes), "node bigint, items binary").dropDuplicates(["node"]), "sets")
+    items = chosen.mapInPandas(_set_bytes(width, classes), "node bigint, items binary").dropDuplicates(["node"])
 
     shape, link = "a bigint, b bigint", _linked(percent)
     role = {"asks": [F.lit(True).alias("probe"), F.lit(False).alias("stored")], "told": [F.lit(False).alias("probe"), F.lit(True).alias("stored")]}
@@ -321,10 +355,10 @@ def _links(texts: DataFrame, reps: DataFrame, classes, width: int, percent: int)
     links = stage(blocks.groupBy("hub", "block").applyInPandas(link, shape), "links")
     labels = connected_components(links)
 
-    # Cells of several blocks: what is not connected with the first class meets all other blocks.
+    # Cells of several blocks: what is not connected with the smallest class meets all other blocks.
     wide = members.filter("blocks > 1").join(labels, "node", "left")
-    wide = stage(wide.select("hub", "block", "blocks", "node", F.coalesce("root", "node").alias("label")), "wide-cells")
-    first = wide.filter("hub = node").select("hub", F.col("label").alias("main")).distinct()
+    wide = stage(wide.select("hub", "block", "blocks", "node", "anchor", F.coalesce("root", "node").alias("label")), "wide-cells")
+    first = wide.filter("anchor = node").select("hub", F.col("label").alias("main")).distinct()
     rest = stage(wide.join(first, "hub").filter("label <> main").drop("main"), "unconnected")
     if rest.isEmpty():
         return labels
