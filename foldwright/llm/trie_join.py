@@ -8,7 +8,8 @@ meet only through those prefixes:
    in the order, so that passages which many documents share do not bring them together.
 2. Texts with equal sets are one class; only classes take part from here on. Prefixes are a little
    longer than needed for one common shingle: with l more, similar sets share l more. A class with
-   fewer shared shingles than that is alone, and its text is not looked at again.
+   fewer shared shingles than that is alone, and its text is not looked at again; the others leave
+   the cells (see 3) in which they share least, as far as no pair can part by it.
 3. Classes that share a prefix shingle belong to the cell of the smallest of them. All shingles with
    the same smallest class form one cell, so a pair of near copies meets once and not in every
    shingle they share. Large cells are cut into blocks, each with the cell's smallest class in it.
@@ -39,7 +40,7 @@ SKETCH_BITS = 20
 SLICE_BITS = 12
 BLOCK = 512
 #: Shingles added to a prefix, in percent of the set; the more, the fewer chance meetings.
-EXTRA = 5
+EXTRA = 10
 BROADCAST_BYTES = 32 << 20
 _CLASS_SHIFT = 58
 
@@ -124,6 +125,7 @@ def _described(width: int, percent: int, classes) -> Callable:
                 rows.append((len(hashes), node, prefix.view(np.int64)))
             made = pd.DataFrame(rows, columns=["n_shingles", "node", "prefix"])
             made.insert(0, "key", batch["key"].array)
+            made.insert(1, "text_hash", batch["text_hash"].array)
             yield made
 
     return describe
@@ -277,26 +279,27 @@ def _linked(percent: int) -> Callable:
 # -- the join -----------------------------------------------------------------------------------
 
 
-def _small(table: DataFrame, row_bytes: int) -> DataFrame:
+def small_side(table: DataFrame, row_bytes: int) -> DataFrame:
     """Marked for broadcast when its counted rows are below a fixed number of bytes, else left to a shuffle."""
     return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
 
 
 def similar_components(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: the key, ``n_shingles, class_id, component_id``.
+    """One row per document: the key, ``n_shingles, class_id, component_id, group_id, text_hash``.
 
     Two documents link when ``100 * intersection >= percent * union`` of their shingle sets.
     ``class_id`` is the smallest key with the same set, ``component_id`` the smallest key reachable by
-    links. Null and empty texts have no shingles and are linked with nothing. Rows without a key take
+    links, ``group_id`` a number of the component that no other has (null for a document that is linked
+    with nothing by rule), ``text_hash`` the xxhash64 of the text, which with the key names a row. Null and empty texts have no shingles and are linked with nothing. Rows without a key take
     part in nothing and get null ids. Repeated rows are in one class; rows that share a key but not the
     text are linked each by its own text. No rows in, no rows out. A set is known by a 64-bit signature
     and its size, a shingle by 58 bits of its hash.
     """
     if not 1 <= percent <= 100 or width < 1:
         raise ValueError("percent must be in 1..100 and width positive")
-    texts = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(texts.select("text"), width))
-    schema = "key bigint, n_shingles bigint, node bigint, prefix array<bigint>"
+    schema = "key bigint, text_hash bigint, n_shingles bigint, node bigint, prefix array<bigint>"
     described = stage(texts.mapInPandas(_described(width, percent, classes), schema), "shingles")
     named = described.filter("key is not null and n_shingles > 0")
     reps = stage(named.groupBy("node", "n_shingles").agg(F.min("key").alias("rep")), "classes")
@@ -304,14 +307,17 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85, key:
     labels = _links(texts, named, reps, classes, width, percent)
     rooted = reps.select("node", "n_shingles", "rep").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    wanted = rooted.join(least, "root").select("node", "n_shingles", F.col("rep").alias("class_id"), "component_id")
+    wanted = rooted.join(least, "root").select(
+        "node", "n_shingles", F.col("rep").alias("class_id"), "component_id", F.col("root").alias("group_id")
+    )
 
     def shown(name: str) -> Column:
         own = F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col(name))
         return F.when(F.col("key").isNotNull(), own).alias(name)
 
+    group = F.when(F.col("key").isNotNull() & (F.col("n_shingles") > 0), F.col("group_id")).alias("group_id")
     joined = described.drop("prefix").join(wanted, ["node", "n_shingles"], "left")
-    return joined.select(F.col("key").alias(key), "n_shingles", shown("class_id"), shown("component_id"))
+    return joined.select(F.col("key").alias(key), "n_shingles", shown("class_id"), shown("component_id"), group, "text_hash")
 
 
 def _cells(named: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -325,9 +331,15 @@ def _cells(named: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     )
     met = marked.filter("node <> hub or next <> hub")
     pairs = stage(met.groupBy("hub", "node").agg(F.count("*").alias("shared")), "pairs")
-    totals = pairs.groupBy("node").agg(F.sum("shared").alias("shared")).join(reps.select("node", "n_shingles"), "node")
-    able = totals.filter(F.col("shared") >= _least_shared(F.col("n_shingles"), percent)).select("node", "n_shingles")
-    cells = stage(pairs.drop("shared").join(able, "node"), "cells")
+    # Of the shingles that two similar sets share, each may lose up to half by leaving its least cells:
+    # at least one is left in a cell that both stay in.
+    rising = Window.partitionBy("node").orderBy("shared", "hub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = _least_shared(F.col("n_shingles"), percent)
+    weighed = pairs.join(reps.select("node", "n_shingles"), "node").withColumns(
+        {"lost": F.sum("shared").over(rising), "all": F.sum("shared").over(Window.partitionBy("node"))}
+    )
+    stays = (F.col("all") >= least) & (F.col("lost") > F.floor((least - 1) / 2))
+    cells = stage(weighed.filter(stays).select("hub", "node", "n_shingles"), "cells")
     sizes = cells.groupBy("hub").agg(
         F.count("*").alias("n"), F.min("node").alias("anchor"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
     )
@@ -345,7 +357,7 @@ def _links(texts: DataFrame, named: DataFrame, reps: DataFrame, classes, width:
     members = stage(cells.select("hub", "node", "anchor", "blocks", F.explode(where).alias("block")), "members")
 
     met = members.select("node").distinct().join(reps.select("node", "rep"), "node").select(F.col("rep").alias("key")).distinct()
-    chosen = texts.join(_small(stage(met, "met"), 32), "key", "left_semi").select("text")
+    chosen = texts.join(small_side(stage(met, "met"), 32), "key", "left_semi").select("text")
     items = chosen.mapInPandas(_set_bytes(width, classes), "node bigint, items binary").dropDuplicates(["node"])
 
     shape, link = "a bigint, b bigint", _linked(percent)
