@@ -45,17 +45,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near copies.
+    """Keep one document of each component of near copies: that of the smallest id.
 
-    Documents without shingles or without an id are in no group and stay; of rows that repeat an id
-    within a group one stays.
+    Documents without words or without an id are in no component and stay. A document is named by its
+    id and the hash of its text, so rows that share an id but not the text are decided one by one; of
+    rows that repeat both, one stays.
     """
     ship_code(spark)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = trie_join.similar_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = numbered.join(gone, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    found = stage(trie_join.similar_components(docs, NEAR_WORDS, NEAR_PERCENT).filter("group_id is not null"), "near-copies")
+    name = F.struct("doc_id", "text_hash")
+    kept = found.groupBy("group_id").agg(F.min(name).alias("kept"))
+    gone = found.join(kept, "group_id").filter(name != F.col("kept")).select("doc_id", "text_hash").distinct()
+    again = found.groupBy("doc_id", "text_hash").count().filter("count > 1").drop("count")
+    named = docs.withColumn("_hash", F.xxhash64("text"))
+
+    def of(rows: DataFrame) -> DataFrame:
+        # The hash is kept apart from a column of the documents that may have its name.
+        return trie_join.small_side(stage(rows.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")), "named"), 48)
+
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    left = named.join(of(gone), same, "left_anti")
+    repeated = of(again)
+    single = left.join(repeated, same, "left_anti")
+    if repeated.isEmpty():
+        return single.select(*docs.columns)
+    return single.union(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_hash"])).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
