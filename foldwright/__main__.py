@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from foldwright.plans.study import Settings, run_study
-from foldwright.sources import APPLICANT_SCHEMA, APPROVED, scan_csv, sink_results
+from foldwright.sources import APPLICANT_SCHEMA, APPROVED, scan_csv, scan_report, sink_results
 from foldwright.staging import release, stage
 
 
@@ -20,7 +20,7 @@ def main() -> None:
     parser.add_argument("--approved", default=APPROVED, help="status text that means approved")
     parser.add_argument("--infer-schema", action="store_true", help="infer types instead of using the declared ones")
     parser.add_argument("--folds", type=int, default=10)
-    parser.add_argument("--parallelism", type=int, default=4, help="model fits that run side by side")
+    parser.add_argument("--parallelism", type=int, default=1, help="model fits that run side by side")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("foldwright").getOrCreate()
@@ -32,7 +32,10 @@ def main() -> None:
         key = ("row_key",)
     settings = Settings(key=key, k=args.folds, parallelism=args.parallelism)
     try:
-        sink_results(run_study(raw, settings, args.approved), args.out)
+        results = run_study(raw, settings, args.approved)
+        if not args.infer_schema:
+            results["scan_report"] = scan_report(spark, args.input, APPLICANT_SCHEMA)
+        sink_results(results, args.out)
     finally:
         release(spark)
         spark.stop()

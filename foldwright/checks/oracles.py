@@ -301,6 +301,12 @@ def statements() -> dict[str, str]:
     return {
         # sources, sinks, actions
         "scan_csv": f"{a} SELECT * REPLACE (round(AGE, 6) AS AGE) FROM applicants",
+        "scan_csv_whole_numbers": f"{a} SELECT row_key, CASE WHEN row_key % 5 < 3 THEN APPLICANT_FAMILY_COUNT END "
+        "AS APPLICANT_FAMILY_COUNT FROM applicants",
+        "scan_report": f"{a} SELECT 'APPLICANT_FAMILY_COUNT' AS column, count(*) FILTER (row_key % 5 = 4 OR "
+        "row_key % 5 < 3 AND APPLICANT_FAMILY_COUNT IS NOT NULL) AS filled, "
+        "count(*) FILTER (row_key % 5 = 4) AS unreadable FROM applicants "
+        "UNION ALL SELECT 'MARITAL_STATUS', count(MARITAL_STATUS), 0::BIGINT FROM applicants",
         "scan_parquet": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate, round(o_totalprice, 6) AS o_totalprice) FROM orders",
         "row_count": "SELECT 'orders' AS stage, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer "
         "UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
@@ -345,6 +351,9 @@ def statements() -> dict[str, str]:
         "to_prob_vec": f"SELECT {LINE_KEY}, round(1 - l_discount, 6) AS p0, round(l_discount, 6) AS p1 FROM lineitem",
         # joins
         "vote_join": f"SELECT o_orderkey, CAST({PRICE_SUM} AS BIGINT) AS votes, round(({PRICE_SUM}) / {len(PRICE_RULES)}.0::DOUBLE, 6) AS p1 FROM orders",
+        "vote_join_gaps": f"SELECT o_orderkey, CAST({PRICE_SUM} AS BIGINT) AS votes, "
+        f"round(({PRICE_SUM}) / {len(PRICE_RULES)}.0::DOUBLE, 6) AS p1 FROM orders WHERE "
+        + " AND ".join(f"(o_orderkey % 11 = {i}) = (o_orderkey % 13 = {i})" for i in range(len(PRICE_RULES))),
         "label_join": f"SELECT o_orderkey, CAST({PRICE_SUM} AS BIGINT) AS votes, round(({PRICE_SUM}) / {len(PRICE_RULES)}.0::DOUBLE, 6) AS p1, "
         "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders",
         "score_join": f"SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label, "
@@ -404,7 +413,9 @@ FROM folded JOIN held USING (fold, MARITAL_STATUS, AGE_GROUP)""",
         **{name: metric_of(name) for name in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")},
         "auc_roc": metric_of("auc"),
         "fold_metrics": f"{m} SELECT model, fold, metric, round(value, 6) AS value FROM metrics",
-        "cv_summary": f"{m} SELECT model, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM metrics GROUP BY model, metric",
+        "metrics_null_labels": "WITH " + METRICS.replace("  FROM preds\n", "  FROM preds WHERE l_orderkey % 7 > 1\n")
+        + " SELECT model, fold, metric, round(value, 6) AS value FROM metrics WHERE metric IN ('accuracy', 'auc', 'weighted_recall')",
+        "cv_summary": f"{m} SELECT model, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, count(value) AS n_folds FROM metrics GROUP BY model, metric",
         "fold_series": f"{m} SELECT model, metric, fold, round(value, 6) AS value, "
         "round(avg(value) OVER (PARTITION BY model, metric), 6) AS mean FROM metrics",
         "model_comparison": f"{m} SELECT model, {COMPARISON_COLUMNS}, {POSITION} AS position FROM comparison",
@@ -422,6 +433,9 @@ SELECT model, round(p1, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BI
        round(CAST(tp AS DOUBLE) / p, 6) AS tpr, round(CAST(fp AS DOUBLE) / n, 6) AS fpr FROM summed""",
         # feature preparation
         "string_index": f"WITH {INDEXED} SELECT row_key, CAST(marital_idx AS DOUBLE) AS MARITAL_STATUS_IDX, CAST(gender_idx AS DOUBLE) AS GENDER_DESC_IDX FROM indexed",
+        "string_index_wide": "WITH counted AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, "
+        "CAST(l_partkey AS VARCHAR)) - 1 AS part_index FROM lineitem GROUP BY l_partkey) "
+        f"SELECT {LINE_KEY}, part_index FROM lineitem JOIN counted USING (l_partkey)",
         "one_hot": f"WITH {INDEXED} SELECT row_key, "
         + ", ".join(f"CASE WHEN marital_idx = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS m{i}" for i in range(5))
         + " FROM indexed",
@@ -476,6 +490,10 @@ SELECT CAST(flag AS DOUBLE) AS flag, CAST(vote AS DOUBLE) AS prediction, round(1
         "CASE WHEN 1 / (1 + exp(-margin)) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM s",
         # clustering
         "kmeans_fit": f"{d} SELECT CAST(flag AS DOUBLE) AS flag, CAST(flag AS DOUBLE) AS center, count(*) AS n FROM labelled GROUP BY flag",
+        "nearest_center_nulls": """WITH far AS (SELECT o_orderkey, pow(o_totalprice / 1000.0, 2) AS a,
+  pow(o_totalprice / 1000.0 - 100, 2) AS b, pow(o_totalprice / 1000.0 - 200, 2) AS c FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 THEN NULL WHEN a <= b AND a <= c THEN 0
+  WHEN b <= c THEN 1 ELSE 2 END::INTEGER AS cluster FROM far""",
         "nearest_center": """WITH slots AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
 centers AS (SELECT label, i, avg(x) AS c FROM slots GROUP BY label, i),
 distances AS (SELECT vec_id, centers.label AS center, sum((x - c) ^ 2) AS d FROM slots JOIN centers USING (i) GROUP BY vec_id, centers.label),

@@ -58,13 +58,14 @@ from foldwright.sources import (
     read_results,
     row_count,
     scan_csv,
+    scan_report,
     schema_report,
     sink_results,
     stage_counts,
     table,
     to_local,
 )
-from foldwright.staging import new_path, stage, stage_small_side
+from foldwright.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -97,6 +98,28 @@ def scan_csv_applicants(spark, d):
     return rounded(read.withColumn("row_key", F.col("row_key").cast("bigint")).withColumns({c: F.to_date(c) for c in DATES}))
 
 
+def _whole_numbers(spark, d) -> str:
+    """The applicants as text, with family counts written as whole numbers often are: 3.0, 3, ' 3', nothing, abc."""
+    n = F.col("APPLICANT_FAMILY_COUNT").cast("string")
+    key = F.col("row_key") % 5
+    written = F.when(key == 0, F.concat(n, F.lit(".0"))).when(key == 1, n).when(key == 2, F.concat(F.lit(" "), n))
+    path = new_path(spark, "csv")
+    rows = applicants(spark, d).withColumn("APPLICANT_FAMILY_COUNT", written.when(key == 3, "").otherwise("abc"))
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+@query
+def scan_csv_whole_numbers(spark, d):
+    read = scan_csv(spark, _whole_numbers(spark, d), APPLICANT_SCHEMA)
+    return read.select(F.col("row_key").cast("bigint").alias("row_key"), "APPLICANT_FAMILY_COUNT")
+
+
+@query_named("scan_report")
+def scan_report_applicants(spark, d):
+    return scan_report(spark, _whole_numbers(spark, d), APPLICANT_SCHEMA).filter("column in ('APPLICANT_FAMILY_COUNT', 'MARITAL_STATUS')")
+
+
 @query
 def scan_parquet(spark, d):
     orders = table(spark, d, "orders")
@@ -307,6 +330,19 @@ def label_join(spark, d):
     return rounded(bagging.label_join(votes, labels, ["o_orderkey"]))
 
 
+@query
+def vote_join_gaps(spark, d):
+    """Tables that miss keys, repeat them, or have null keys: what every table has once is left."""
+    tables = []
+    for i, votes in enumerate(price_votes(spark, d)):
+        key = F.col("o_orderkey")
+        some = votes.filter(key % 11 != i)
+        again = votes.filter(key % 13 == i)
+        unknown = votes.filter(key % 17 == 0).withColumn("o_orderkey", F.lit(None).cast("bigint"))
+        tables.append(some.union(again).union(unknown))
+    return rounded(bagging.vote_join(tables, ["o_orderkey"]))
+
+
 @query
 def score_join(spark, d):
     labels = cleaning.binary_label(table(spark, d, "orders"), "o_orderstatus", "F", "label").select("o_orderkey", "label")
@@ -408,7 +444,7 @@ def fold_split(spark, d):
 def _rate_predictor(train: DataFrame, test: DataFrame) -> DataFrame:
     """The training share of label 1 in the row's own group; one half for an unseen group."""
     group = ["MARITAL_STATUS", "AGE_GROUP"]
-    rates = stage_small_side(train.groupBy(*group).agg(F.avg("label").alias("rate")), "rates")
+    rates = stage(train.groupBy(*group).agg(F.avg("label").alias("rate")), "rates")
     p1 = F.coalesce("rate", F.lit(0.5))
     joined = test.join(rates, group, "left")
     return joined.withColumns({"p1": p1, "score": p1, "prediction": threshold_predict(p1)})
@@ -452,6 +488,16 @@ def fold_metrics(spark, d):
     return rounded(rule_metrics(spark, d))
 
 
+@query
+def metrics_null_labels(spark, d):
+    """Rows without a label, some of them without a prediction too, count in no metric."""
+    part = F.col("l_orderkey") % 7
+    preds = rule_predictions(spark, d).withColumns(
+        {"label": F.when(part > 1, F.col("label")), "prediction": F.when(part != 0, F.col("prediction"))}
+    )
+    return rounded(metrics.fold_metrics(preds, ["model", "fold"], ["accuracy", "auc", "weighted_recall"]))
+
+
 @query
 def cv_summary(spark, d):
     return rounded(metrics.cv_summary(rule_metrics(spark, d)))
@@ -491,9 +537,16 @@ def string_index(spark, d):
     return indexed.select("row_key", *[f"{c}_IDX" for c in CATEGORICAL])
 
 
+@query
+def string_index_wide(spark, d):
+    """A column of very many values: every part of the order lines."""
+    lines = table(spark, d, "lineitem").select(*LINE_KEY, F.col("l_partkey").alias("part"))
+    return prep.string_index(lines, ["part"]).select(*LINE_KEY, F.col("part_IDX").cast("bigint").alias("part_index"))
+
+
 @query
 def one_hot(spark, d):
-    encoded = prep.one_hot(prep.string_index(staged_features(spark, d), CATEGORICAL[:1]), CATEGORICAL[:1])
+    encoded = prep.one_hot(prep.index_slots(staged_features(spark, d), CATEGORICAL[:1]), CATEGORICAL[:1])
     return prep.slot_columns(encoded, "MARITAL_STATUS_VEC", [f"m{i}" for i in range(5)], ["row_key"])
 
 
@@ -502,7 +555,7 @@ def _slots(n: int) -> list[str]:
 
 
 def _assembled(spark, d) -> DataFrame:
-    encoded = prep.one_hot(prep.string_index(staged_features(spark, d), CATEGORICAL), CATEGORICAL)
+    encoded = prep.one_hot(prep.index_slots(staged_features(spark, d), CATEGORICAL), CATEGORICAL)
     return prep.assemble(encoded, [*NUMERIC, *[f"{c}_VEC" for c in CATEGORICAL]], "features_unscaled")
 
 
@@ -563,7 +616,7 @@ def bagging_fit(spark, d):
 @query
 def bagging_fit_separate(spark, d):
     rows = flagged(spark, d)
-    trees = bagging.bagging_fit(rows, 3, max_depth=1, strategy="separate", key="row_key")
+    trees = bagging.bagging_fit(rows, 25, max_depth=1, strategy="separate", key="row_key")
     voted, votes = bagging.cast_votes(rows, trees)
     return _by_flag(bagging.majority_vote(voted, votes))
 
@@ -647,13 +700,13 @@ def _rounds_table(spark, rounds) -> DataFrame:
 def adaboost_fit(spark, d):
     """Boosting with one slot per age group: each learner predicts every group's weighted majority."""
     rows = labelled(spark, d).select("AGE_GROUP", F.col("LEARNED_LABEL").alias("label"))
-    grouped = prep.one_hot(prep.string_index(stage(rows, "groups"), ["AGE_GROUP"]), ["AGE_GROUP"])
+    grouped = prep.one_hot(prep.index_slots(stage(rows, "groups"), ["AGE_GROUP"]), ["AGE_GROUP"])
     return rounded(_rounds_table(spark, boosting.adaboost_fit(grouped, rounds=3, features="AGE_GROUP_VEC")))
 
 
 @query
 def adaboost_fit_prepared(spark, d):
-    return rounded(_rounds_table(spark, boosting.adaboost_fit(prepared(spark, d), rounds=5)))
+    return rounded(_rounds_table(spark, boosting.adaboost_fit(prepared(spark, d), rounds=10)))
 
 
 @query
@@ -679,7 +732,7 @@ def gbt_fit(spark, d):
 @query_named("feature_importance")
 def feature_importances(spark, d):
     rows = prepared(spark, d)
-    model = learners.gbt_fit(rows, max_iter=10)
+    model = learners.gbt_fit(rows, max_iter=50)
     return rounded(feature_importance(model, prep.feature_names(rows)))
 
 
@@ -708,8 +761,8 @@ def _study(models, **changes) -> Query:
 
 
 _registered["cross_validate_logistic"] = _study([study.LOGISTIC])
-_registered["cross_validate_bagging"] = _study([study.BAGGING], k=3)
-_registered["cross_validate_adaboost"] = _study([study.ADABOOST], k=3, rounds=3)
+_registered["cross_validate_bagging"] = _study([study.BAGGING])
+_registered["cross_validate_adaboost"] = _study([study.ADABOOST])
 
 
 def _by_fold_and_flag(spark, d, fit_predict, k: int = 5) -> DataFrame:
@@ -750,11 +803,11 @@ def cross_validate_fold_scope_by_flag(spark, d):
 def cross_validate_fold_scope(spark, d):
     """Preparation fitted on each training part only."""
     rows = labelled(spark, d).withColumn("label", F.col("LEARNED_LABEL").cast("double"))
-    folded = folds.fold_assign(rows, 3, "row_key")
+    folded = folds.fold_assign(rows, 10, "row_key")
     scored = folds.cross_validate(
         folded,
         learners.estimator_predictor(learners.logreg()),
-        3,
+        10,
         ["row_key"],
         prepare=prep.prep_pipeline(NUMERIC, CATEGORICAL),
         fit_scope="fold",
@@ -803,7 +856,7 @@ def silhouette(spark, d):
 
 @query
 def choose_k(spark, d):
-    return rounded(clustering.choose_k(prepared(spark, d), range(2, 6)))
+    return rounded(clustering.choose_k(prepared(spark, d)))
 
 
 def _profiled(spark, d) -> DataFrame:
@@ -812,6 +865,14 @@ def _profiled(spark, d) -> DataFrame:
     return clustering.nearest_center(rows.withColumn("point", point), CENTERS, "point")
 
 
+@query
+def nearest_center_nulls(spark, d):
+    """Points without a value, or with a null in it, are near no center."""
+    point = F.array((F.col("o_totalprice") / 1000.0), F.when(F.col("o_orderkey") % 3 != 0, F.lit(1.0)))
+    rows = table(spark, d, "orders").withColumn("point", F.when(F.col("o_orderkey") % 5 != 0, point))
+    return clustering.nearest_center(rows, [[0.0, 1.0], [100.0, 1.0], [200.0, 1.0]], "point").select("o_orderkey", "cluster")
+
+
 @query
 def cluster_sizes(spark, d):
     return clustering.cluster_sizes(_profiled(spark, d))

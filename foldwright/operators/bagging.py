@@ -14,6 +14,8 @@ from foldwright.functions.scores import positive_share, threshold_predict, to_pr
 from foldwright.operators.folds import in_parallel
 from foldwright.operators.learners import only_prediction, tree_fit
 
+_BITS = 62
+
 
 def bootstrap_sample(
     df: DataFrame, key: str | Sequence[str], i: int, seed: int = 42, fraction: float = 1.0, out: str = "w"
@@ -84,13 +86,31 @@ def majority_vote(df: DataFrame, votes: Sequence[str], vector: bool = False) ->
 def vote_join(frames: Sequence[DataFrame], key: Sequence[str], vote: str = "vote") -> DataFrame:
     """``(key, votes, p1)`` from one ``(key, vote)`` table per model, for votes that were made apart.
 
-    Keys must be unique in each table. As with a chain of inner joins, only keys
-    that every table has are kept, but one shuffle serves all tables.
+    As with a chain of inner joins, only keys that every table has are kept, and null
+    keys meet nothing, but one shuffle serves all tables. A key that a table repeats
+    has no vote of its own there and is left out.
+    """
+    votes = [f.select(*key, F.col(vote).alias("_part")) for f in frames]
+    n = F.lit(float(len(frames)))
+    return sum_of_all(votes, key, "votes").select(*key, "votes", (F.col("votes") / n).alias("p1"))
+
+
+def sum_of_all(frames: Sequence[DataFrame], key: Sequence[str], out: str) -> DataFrame:
+    """``(key, out)``: sum of ``_part`` over the tables, for complete keys that each table has exactly once.
+
+    Every table sets its own bit; as many rows as bits then mean one row from each.
     """
-    n = len(frames)
-    together = reduce(DataFrame.unionByName, [f.select(*key, vote) for f in frames])
-    sums = together.groupBy(*key).agg(F.sum(vote).alias("votes"), F.count("*").alias("_tables"))
-    return sums.filter(F.col("_tables") == n).select(*key, "votes", (F.col("votes") / F.lit(float(n))).alias("p1"))
+    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    tagged = [f.filter(full).withColumn("_table", F.lit(i)) for i, f in enumerate(frames)]
+    bits = [F.col("_table") % _BITS == F.lit(i) for i in range(min(_BITS, len(frames)))]
+    bit = reduce(lambda rest, i: F.when(bits[i], F.lit(1 << i)).otherwise(rest), range(len(bits)), F.lit(0).cast("bigint"))
+    words = range(-(-len(frames) // _BITS))
+    seen = [F.bit_or(F.when(F.floor(F.col("_table") / _BITS) == w, bit).otherwise(F.lit(0))).alias(f"_seen_{w}") for w in words]
+    sums = reduce(DataFrame.unionByName, tagged).groupBy(*key).agg(F.sum("_part").alias(out), F.count("*").alias("_rows"), *seen)
+    whole = F.col("_rows") == len(frames)
+    for w in words:
+        whole = whole & (F.col(f"_seen_{w}") == (1 << min(_BITS, len(frames) - w * _BITS)) - 1)
+    return sums.filter(whole).select(*key, out)
 
 
 def label_join(preds: DataFrame, labelled: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.functions.scores import exp_sigmoid, threshold_predict
+from foldwright.operators.bagging import sum_of_all
 from foldwright.operators.learners import only_prediction, weak_learner_fit
 
 EPS = 1e-10
@@ -130,18 +131,11 @@ def weighted_vote(df: DataFrame, votes: Sequence[tuple[str, float]]) -> DataFram
 def score_join(base: DataFrame, frames: Sequence[tuple[DataFrame, float]], key: Sequence[str]) -> DataFrame:
     """``base`` with ``margin`` from one ``(key, vote)`` table and alpha per learner, for votes made apart.
 
-    Keys must be unique in each table; a row of ``base`` is kept when every table
-    has its key. The tables are summed first, so that one join remains.
+    A row of ``base`` is kept when every table has its key exactly once; null keys
+    meet nothing. The tables are summed first, so that one join remains.
     """
     signed = [f.select(*key, (F.lit(float(a)) * (F.col("vote").cast("int") * 2 - 1)).alias("_part")) for f, a in frames]
-    sums = (
-        reduce(DataFrame.unionByName, signed)
-        .groupBy(*key)
-        .agg(F.sum("_part").alias("margin"), F.count("*").alias("_tables"))
-        .filter(F.col("_tables") == len(frames))
-        .drop("_tables")
-    )
-    return base.join(sums, list(key), "inner")
+    return base.join(sum_of_all(signed, key, "margin"), list(key), "inner")
 
 
 def adaboost_votes(df: DataFrame, rounds: Sequence[Round]) -> tuple[DataFrame, list[tuple[str, float]]]:

@@ -35,14 +35,15 @@ def drop_null_subset(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(has_values(df, cols))
 
 
+def as_date(df: DataFrame, name: str, strict: bool = False) -> Column:
+    """A timestamp or string column of ``df`` as a date; a string that is none becomes null, or raises when ``strict``."""
+    text = isinstance(df.schema[name].dataType, StringType)
+    return (F.try_to_date if text and not strict else F.to_date)(F.col(name))
+
+
 def cast_to_date(df: DataFrame, cols: Sequence[str], strict: bool = False) -> DataFrame:
     """Timestamps or strings to dates. A string that is no date becomes null, or raises when ``strict``."""
-    parsed = {}
-    for name in cols:
-        text = isinstance(df.schema[name].dataType, StringType)
-        convert = F.try_to_date if text and not strict else F.to_date
-        parsed[name] = convert(F.col(name))
-    return df.withColumns(parsed)
+    return df.withColumns({name: as_date(df, name, strict) for name in cols})
 
 
 def cast_int(df: DataFrame, name: str, strict: bool = False) -> DataFrame:

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from foldwright.operators.folds import in_parallel
 
-MAX_CENTER_CELLS = 4_000_000
-
 
 def as_vector(df: DataFrame, features: str = "features") -> DataFrame:
     """Turn an array column into the vector column that MLlib reads; a vector stays as it is."""
@@ -32,21 +29,19 @@ def kmeans_fit(df: DataFrame, k: int, max_iter: int = 50, seed: int = 42, featur
 def nearest_center(df: DataFrame, centers: Sequence[Sequence[float]], features: str, out: str = "cluster") -> DataFrame:
     """Add the index of the nearest given center by squared distance, the lowest index on a tie.
 
-    ``features`` is an array column. The centers go to every task, so their size is checked.
+    ``features`` is an array column. A null point, or one with a null or of another length
+    than the centers, has no nearest center. The centers are a literal of the plan; a table
+    of many is better kept in a fitted K-Means model.
     """
-    table = np.asarray(centers, dtype=np.float64)
-    if table.size > MAX_CENTER_CELLS:
-        raise ValueError(f"{table.size} center values are too many to send to every task")
-
-    @F.pandas_udf("int")
-    def nearest(points: pd.Series) -> pd.Series:
-        if points.empty:
-            return pd.Series(dtype=np.int32)
-        rows = np.stack(points.to_numpy()).astype(np.float64)
-        squares = np.stack([((rows - center) ** 2).sum(axis=1) for center in table], axis=1)
-        return pd.Series(squares.argmin(axis=1).astype(np.int32))
-
-    return df.withColumn(out, nearest(F.col(features)))
+    table = F.from_json(F.lit(json.dumps([[float(x) for x in c] for c in centers])), "array<array<double>>")
+    point = F.col(features).cast("array<double>")
+
+    def distance(center: Column) -> Column:
+        squares = F.zip_with(point, center, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+
+    far = F.transform(table, distance)
+    return df.withColumn(out, (F.array_position(far, F.array_min(far)) - 1).cast("int"))
 
 
 def silhouette(df: DataFrame, cluster: str = "cluster", features: str = "features") -> float:

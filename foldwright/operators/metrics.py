@@ -1,7 +1,9 @@
 """Exact classification metrics for all groups (model, fold, ...) of a prediction table at once.
 
 Every function takes ``(preds, keys)``: ``preds`` has a 0/1 ``label``, a
-``prediction`` and a ``score`` column, ``keys`` name the groups.
+``prediction`` and a ``score`` column, ``keys`` name the groups. Rows without a label
+count in no metric, rows without a prediction in none that reads it; only the
+confusion matrix shows them.
 """
 
 from __future__ import annotations
@@ -30,15 +32,19 @@ def confusion_matrix(preds: DataFrame, keys: Sequence[str]) -> DataFrame:
     return preds.groupBy(*keys, label.alias("label"), prediction.alias("prediction")).agg(F.count("*").alias("n"))
 
 
+def _judged(preds: DataFrame) -> DataFrame:
+    return preds.filter(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+
+
 def accuracy(preds: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys, accuracy)``: share of rows whose prediction equals the label."""
     hit = (F.col("label").cast("double") == F.col("prediction").cast("double")).cast("double")
-    return preds.groupBy(*keys).agg(F.avg(hit).alias("accuracy"))
+    return _judged(preds).groupBy(*keys).agg(F.avg(hit).alias("accuracy"))
 
 
 def _class_scores(preds: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per true class: its rows, precision, recall and F1, a rate with no rows under it being 0."""
-    cells = confusion_matrix(preds, keys)
+    cells = confusion_matrix(_judged(preds), keys)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     classes = cells.select(
         *keys,
@@ -167,8 +173,13 @@ def fold_metrics(preds: DataFrame, keys: Sequence[str], metrics: Sequence[str] =
 
 
 def cv_summary(metrics: DataFrame) -> DataFrame:
-    """``(model, metric, mean, std)`` over the folds, with the population standard deviation."""
-    return metrics.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    """``(model, metric, mean, std, n_folds)``, with the population standard deviation.
+
+    ``n_folds`` counts the folds that have the metric: a fold of one class has no AUC.
+    """
+    return metrics.groupBy("model", "metric").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("n_folds")
+    )
 
 
 def fold_series(metrics: DataFrame) -> DataFrame:

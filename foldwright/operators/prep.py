@@ -10,19 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 10_000
-
-
-def check_categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Raise when a column has more distinct values than a one-hot vector should have slots.
-
-    Indexing brings a column's values to the driver, so their number is bounded first.
-    """
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    wide = [c for c in cols if found[c] > limit]
-    if wide:
-        raise ValueError(f"more than about {limit} categories in {', '.join(wide)}")
-
+from foldwright.operators.ordered import running_totals
+from foldwright.staging import stage
 
 def _indexer(cols: Sequence[str]) -> StringIndexer:
     return StringIndexer(
@@ -38,9 +27,26 @@ def _scaler(name: str, out: str) -> StandardScaler:
     return StandardScaler(inputCol=name, outputCol=out, withMean=True, withStd=True)
 
 
-def string_index(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> DataFrame:
-    """Add ``<c>_IDX``: 0 for the most frequent value, ties by value; null and unseen share the last index."""
-    check_categories(df, cols, limit)
+def string_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add ``<c>_IDX``: 0 for the most frequent value, ties by value; null gets the index after the last.
+
+    The distinct values are counted, numbered range by range and joined back, so a
+    column may have any number of them; none reaches the driver.
+    """
+    for name in cols:
+        value = F.col(name).cast("string")
+        held = df.filter(F.col(name).isNotNull()).groupBy(value.alias("_value")).agg(F.count("*").alias("_n"))
+        place = F.struct((-F.col("_n")).alias("_less"), F.col("_value").alias("_value")).alias("_place")
+        numbered = running_totals(held.select(F.lit(0).alias("_all"), place, F.lit(1).alias("_one")), ["_all"], "_place", ["_one"])
+        index = stage(numbered.select(F.col("_place._value").alias("_value"), F.col("_one_before").alias("_index")), "index")
+        last = index.agg(F.count("*")).scalar()
+        found = df.join(index, value == F.col("_value"), "left")
+        df = found.withColumn(f"{name}_IDX", F.coalesce("_index", last).cast("double")).drop("_value", "_index")
+    return df
+
+
+def index_slots(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``string_index`` for values that become slots of a vector: the column carries their names for ``one_hot``."""
     return _indexer(cols).fit(df).transform(df)
 
 
@@ -60,18 +66,18 @@ def standardize(df: DataFrame, name: str, out: str) -> DataFrame:
 
 
 def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
-    """Index, encode, assemble (``features_unscaled``) and standardize (``features``)."""
+    """Index, encode, assemble (``features_unscaled``) and standardize (``features``).
+
+    Each distinct category becomes a slot with a name, so the values reach the driver
+    as the slot names do. For columns of very many values use ``string_index``.
+    """
     inputs = [*numeric, *[f"{c}_VEC" for c in categorical]]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features_unscaled", handleInvalid="skip")
     categories = [_indexer(categorical), _encoder(categorical)] if categorical else []
     return Pipeline(stages=[*categories, assembler, _scaler("features_unscaled", "features")])
 
 
-def fit_prep(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], limit: int = MAX_CATEGORIES
-) -> PipelineModel:
-    if categorical:
-        check_categories(df, categorical, limit)
+def fit_prep(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
     return prep_pipeline(numeric, categorical).fit(df)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from foldwright.staging import stage
+
 
 def value_counts(df: DataFrame, name: str) -> DataFrame:
     """``(value, n)``, most frequent first, ties by value."""
@@ -112,7 +114,8 @@ def top_n_with_others(df: DataFrame, name: str, value: str, n: int = 5) -> DataF
     There is no ``Others`` row when at most ``n`` names exist. Only the top ``n``
     rows are broadcast, and only they are gathered to be numbered.
     """
-    sums = df.groupBy(F.col(name).cast("string").alias(name)).agg(F.sum(value).alias(value))
+    # Staged, as both parts read them: one row per name.
+    sums = stage(df.groupBy(F.col(name).cast("string").alias(name)).agg(F.sum(value).alias(value)), "sums")
     top = sums.orderBy(F.desc(value), name).limit(n)
     in_order = F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("_low"), name, value)))
     numbered = top.agg(in_order.alias("_top")).select(F.posexplode("_top").alias("_place", "_row"))

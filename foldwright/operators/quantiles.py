@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.operators.ordered import running_totals
-from foldwright.staging import stage_small_side
+from foldwright.staging import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -18,7 +18,8 @@ def _counted(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     held = (
         df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
     )
-    return running_totals(held, keys, "_value", ["_n"])
+    # Staged, as the quartiles and the rows that meet them both read it.
+    return stage(running_totals(held, keys, "_value", ["_n"]), "counted")
 
 
 def _value_at(rank: Column) -> Column:
@@ -46,10 +47,10 @@ def _quartiles(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _with_quartiles(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join each value to its group's quartiles, a null group to its own.
 
-    The quartiles are staged and counted first. Up to a fixed number of groups they
-    are broadcast, so that one large group is not shuffled into a single task.
+    The quartiles are staged, so the join knows their size: Spark broadcasts few of
+    them, and splits a large group when it must shuffle.
     """
-    stats = stage_small_side(_quartiles(counted, keys), "quartiles")
+    stats = stage(_quartiles(counted, keys), "quartiles")
     stats = stats.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     same = F.lit(True)
     for k in keys:

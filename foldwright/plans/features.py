@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foldwright.functions.dates import date_diff_days, months_between_years
 from foldwright.operators.cleaning import (
+    as_date,
     binary_label,
     bucketize_case,
     cast_int,
@@ -17,6 +18,7 @@ from foldwright.operators.cleaning import (
 )
 from foldwright.sources.applicants import APPROVED
 
+# Names of the columns of the input and of the derived table.
 REQUIRED = ["AGE", "APPLICANT_FAMILY_COUNT", "MARITAL_STATUS", "GENDER_DESC"]
 DATES = ["APPLICATION_DATE", "APPROVED_DATE", "APPLICANT_BIRTH_DATE"]
 NUMERIC = ["AGE_AT_APPLICATION", "APPLICANT_FAMILY_COUNT", "APPLICATION_YEAR"]
@@ -73,6 +75,6 @@ def feature_table(df: DataFrame, approved: str = APPROVED) -> DataFrame:
 
 def feature_steps(df: DataFrame) -> dict[str, Column]:
     """The row filters of ``feature_table`` as conditions on the raw rows ``df``, for ``stage_counts``."""
-    dated = months_between_years(F.to_date("APPLICATION_DATE"), F.to_date("APPLICANT_BIRTH_DATE"))
+    dated = months_between_years(as_date(df, "APPLICATION_DATE"), as_date(df, "APPLICANT_BIRTH_DATE"))
     valid = F.coalesce(dated.between(*AGE_LIMITS), F.lit(False))
     return {"loaded": F.lit(True), "complete": has_values(df, REQUIRED), "valid_age": valid}

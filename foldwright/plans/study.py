@@ -23,9 +23,9 @@ from foldwright.operators.quantiles import boxplot_stats
 from foldwright.plans.features import BUCKETED, CATEGORICAL, NUMERIC, feature_steps, feature_table
 from foldwright.sources.applicants import APPROVED
 from foldwright.sources.inspect import stage_counts
-from foldwright.staging import kept, spread, stage
+from foldwright.staging import by_key, stage
 
-BAGGING, ADABOOST, LOGISTIC = "Custom Bagging", "Custom AdaBoost", "Logistic Regression"
+BAGGING, ADABOOST, LOGISTIC = "bagging", "adaboost", "logistic"
 MODELS = [BAGGING, ADABOOST, LOGISTIC]
 LABEL = "APPROVAL_LABEL"
 
@@ -39,7 +39,8 @@ class Settings:
     rounds: int = 10
     gbt_iterations: int = 50
     ks: Sequence[int] = field(default_factory=lambda: list(range(2, 11)))
-    parallelism: int = 4
+    parallelism: int = 1  # fits side by side; each keeps its own copy of the training rows
+    fit_parts: int = 32  # partitions of a single fit over all rows; about a million rows each
 
 
 def profile_tables(table: DataFrame, label: str = LABEL) -> dict[str, DataFrame]:
@@ -57,8 +58,8 @@ def cross_validated(
 ) -> DataFrame:
     """Staged ``(model, fold, key, label, prediction, p1, score)`` of the named models.
 
-    ``folded`` is a staged table with ``features``, ``label`` and ``fold``. It is kept
-    in memory until the predictions are written, as every fit reads it several times.
+    ``folded`` is a staged table with ``features``, ``label`` and ``fold``. Every fit keeps
+    its own training rows in memory, so the table itself is not kept a second time.
     """
     predictors = {
         BAGGING: bagging_predictor(settings.num_models, label=label),
@@ -66,13 +67,12 @@ def cross_validated(
         LOGISTIC: estimator_predictor(logreg(label=label), label=label),
     }
     parts = []
-    with kept(folded):
-        for name in models:
-            scored = cross_validate(
-                folded, predictors[name], settings.k, settings.key, parallelism=settings.parallelism, staged=True
-            )
-            parts.append(scored.select(F.lit(name).alias("model"), *scored.columns))
-        return stage(reduce(DataFrame.unionByName, parts), "predictions")
+    for name in models:
+        scored = cross_validate(
+            folded, predictors[name], settings.k, settings.key, parallelism=settings.parallelism, staged=True
+        )
+        parts.append(scored.select(F.lit(name).alias("model"), *scored.columns))
+    return stage(reduce(DataFrame.unionByName, parts), "predictions")
 
 
 def model_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
@@ -100,7 +100,8 @@ def importance_study(
     prepared: DataFrame, names: Sequence[str], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
     """Rank the features by boosted trees over all rows, and sum up all but the top five."""
-    model = gbt_fit(spread(prepared.select(settings.label, "features")), label=settings.label, max_iter=settings.gbt_iterations)
+    rows = by_key(prepared.select(*settings.key, settings.label, "features"), settings.fit_parts, settings.key)
+    model = gbt_fit(rows, label=settings.label, max_iter=settings.gbt_iterations)
     ranking = feature_importance(model, names)
     return {
         "feature_importance": ranking,

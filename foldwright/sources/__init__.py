@@ -7,7 +7,7 @@ from foldwright.sources.inspect import (
     stage_counts,
     to_local,
 )
-from foldwright.sources.scans import scan_csv, scan_parquet, table
+from foldwright.sources.scans import scan_csv, scan_parquet, scan_report, table
 from foldwright.sources.sinks import read_results, sink_results
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "row_count",
     "scan_csv",
     "scan_parquet",
+    "scan_report",
     "schema_report",
     "sink_results",
     "stage_counts",

@@ -10,14 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MAX_BROADCAST_ROWS = 100_000
 
 _SETTING = "spark.checkpoint.dir"
 _areas: dict[str, str] = {}
@@ -52,49 +47,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_areas[app]}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and return the written table.
+
+    With ``by`` there is a folder for each of its values, and a filter on it lists only those files.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     # The schema is passed on so that no footer is read to infer it and so that
     # vector columns keep their slot names.
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """A staged table with a partition for every core, for a fit that runs on its own.
-
-    A table with fewer splits than cores is small, so writing it once more costs
-    little; any larger table is returned as it is, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return stage(table.repartition(cores), "spread")
-
-
-@contextmanager
-def kept(table: DataFrame) -> Iterator[DataFrame]:
-    """Hold a staged table in memory, and on disk beyond that, for a block that reads it many times.
-
-    A part lost with its executor is read again from the staged files.
-    """
-    table.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield table
-    finally:
-        table.unpersist()
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def stage_small_side(df: DataFrame, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Stage one side of a join and mark it for broadcast when it has at most ``max_rows`` rows.
+def by_key(table: DataFrame, parts: int, key: Sequence[str]) -> DataFrame:
+    """The rows dealt into ``parts`` partitions by their key and sorted by it.
 
-    The count is read from the written table, so it is exact and cheap. A larger
-    side stays unmarked: the join then shuffles, and splits hot keys adaptively.
+    Fits that sample per partition then give the same model on any number of cores.
     """
-    table = stage(df, name)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return table.repartition(parts, *key).sortWithinPartitions(*key)
 
 
 def release(spark: SparkSession) -> bool:

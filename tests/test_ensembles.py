@@ -81,6 +81,16 @@ def test_vote_join_keeps_keys_of_all_tables(spark):
     assert [(r["k"], r["margin"]) for r in got] == [(1, 0.25)]
 
 
+def test_vote_join_leaves_out_repeated_and_null_keys(spark):
+    a = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "k int, vote int")
+    b = spark.createDataFrame([(2, 1), (None, 0)], "k int, vote int")
+    assert [tuple(r) for r in bagging.vote_join([a, b], ["k"]).collect()] == [(2, 1, 0.5)]
+    base = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    assert [r["k"] for r in boosting.score_join(base, [(a, 1.0), (b, 1.0)], ["k"]).collect()] == [2]
+    many = [spark.createDataFrame([(1, 1), (2, i % 2)] + [(3, 1)] * (i != 64), "k int, vote int") for i in range(65)]
+    assert sorted(tuple(r)[:2] for r in bagging.vote_join(many, ["k"]).collect()) == [(1, 65), (2, 32)]
+
+
 def test_tie_is_positive(spark):
     df = spark.createDataFrame([(1, 0), (0, 0)], "v0 int, v1 int")
     got = bagging.majority_vote(df, ["v0", "v1"], vector=True).select("p1", "prediction", vector_to_array("probability"))

@@ -38,10 +38,13 @@ def test_constant_slot_becomes_zero(spark):
     assert [r["s"][1] for r in scaled] == [0.0, 0.0]
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("a"))
-    with pytest.raises(ValueError, match="categories"):
-        prep.string_index(df, ["a"], limit=100)
+def test_any_number_of_values_is_indexed(spark):
+    """50,000 values, one of them in a third of all rows, and nulls."""
+    df = spark.range(75_000).select(F.when(F.col("id") < 50_000, F.col("id").cast("string")).when(F.col("id") < 74_000, "7").alias("a"))
+    got = prep.string_index(df, ["a"])
+    assert got.filter("a = '7'").select("a_IDX").distinct().collect() == [(0.0,)]
+    assert got.filter("a is null").select("a_IDX").distinct().collect() == [(50_000.0,)]
+    assert got.filter("a is not null").agg(F.count_distinct("a_IDX"), F.max("a_IDX")).first() == (50_000, 49_999.0)
 
 
 @pytest.fixture(scope="module")
@@ -85,12 +88,19 @@ def test_clusters_of_the_chosen_k(points):
     assert assigned.groupBy("owner").agg(F.count_distinct("cluster").alias("n")).filter("n > 1").count() == 0
 
 
-def test_nearest_center_ties_and_size_check(spark):
-    df = spark.createDataFrame([([0.0],), ([1.0],), ([5.0],)], "p array<double>").repartition(5)
-    got = clustering.nearest_center(df, [[0.0], [2.0], [9.0]], "p").collect()
-    assert {r["p"][0]: r["cluster"] for r in got} == {0.0: 0, 1.0: 0, 5.0: 1}
-    with pytest.raises(ValueError):
-        clustering.nearest_center(df, np.zeros((3000, 2000)), "p")
+def test_nearest_center_ties_and_nulls(spark):
+    rows = [([0.0],), ([1.0],), ([5.0],), ([None],), (None,), ([1.0, 2.0],)]
+    near = clustering.nearest_center(spark.createDataFrame(rows, "p array<double>").repartition(5), [[0.0], [2.0], [9.0]], "p")
+    got = sorted(((r["p"], r["cluster"]) for r in near.collect()), key=repr)
+    assert got == sorted([([0.0], 0), ([1.0], 0), ([5.0], 1), ([None], None), (None, None), ([1.0, 2.0], None)], key=repr)
+    assert "Python" not in near._jdf.queryExecution().toString()
+
+
+def test_cluster_queries_plan_no_python(spark, sf_dir):
+    from foldwright.checks import queries as q
+
+    for name in ("nearest_center", "cluster_sizes", "cluster_profile", "cluster_modes"):
+        assert "Python" not in q.registered()[name](spark, sf_dir)._jdf.queryExecution().toString()
 
 
 def test_profile_has_no_row_for_an_empty_cluster(spark):

@@ -3,9 +3,12 @@ from pyspark.sql import functions as F
 
 from foldwright import staging
 from foldwright.checks import queries as q
-from foldwright.checks.inputs import labelled
+from foldwright.checks.inputs import labelled, prepared
+from foldwright.operators import folds
 from foldwright.plans import Settings, model_study, profile_tables, run_study
-from foldwright.sources import applicants, read_results, sink_results
+from foldwright.plans.features import feature_steps, feature_table
+from foldwright.plans.study import importance_study
+from foldwright.sources import applicants, read_results, sink_results, stage_counts
 
 SMALL = Settings(k=3, num_models=3, rounds=2, gbt_iterations=3, ks=[2, 3], parallelism=3)
 
@@ -98,12 +101,34 @@ def test_staged_tables_live_in_the_named_folder(spark):
     assert path.startswith(named or staging.shared_dir(spark))
 
 
-def test_small_side_is_broadcast_only_up_to_its_limit(spark):
-    df = spark.range(50)
-    small = staging.stage_small_side(df, "s", 50)
-    large = staging.stage_small_side(df, "s", 49)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+def test_a_fold_scan_lists_only_its_own_files(spark):
+    df = spark.range(1000, numPartitions=4).withColumn("fold", (F.col("id") % 10).cast("int"))
+    staged = folds.stage_folds(df)
+    assert staged.columns == ["id", "fold"] and staged.count() == 1000
+    plan = staged.filter("fold = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fold" in plan
+    assert staged.filter("fold = 3").rdd.getNumPartitions() <= 4
+    assert {"fold=3"} == {f.split("/")[-2] for f in staged.filter("fold = 3").select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+
+
+def test_importances_do_not_depend_on_the_partitions(spark, sf_dir):
+    rows = prepared(spark, sf_dir)
+    settings = Settings(label="label", gbt_iterations=3)
+    names = [f"s{i}" for i in range(13)]
+    got = [
+        sorted(map(tuple, importance_study(rows.repartition(n), names, settings)["feature_importance"].collect()))
+        for n in (1, 5)
+    ]
+    assert got[0] == got[1]
+
+
+def test_counts_of_text_dates(spark):
+    """One unreadable date makes an inferred column text; the other rows count as before."""
+    rows = [(40.0, 1, "S", "F", "2020-01-01", "2020-02-01", "1980-01-01", "F"), (40.0, 1, "S", "F", "no date", None, "1980-01-01", "F")]
+    names = "AGE double, APPLICANT_FAMILY_COUNT int, MARITAL_STATUS string, GENDER_DESC string, APPLICATION_DATE string, APPROVED_DATE string, APPLICANT_BIRTH_DATE string, APPLICATION_STATUS_NAME string"
+    raw = spark.createDataFrame(rows, names)
+    counts = {r["stage"]: r["n"] for r in stage_counts(raw, feature_steps(raw)).collect()}
+    assert counts == {"loaded": 2, "complete": 2, "valid_age": feature_table(raw).count()}
 
 
 def test_null_rules_reach_the_scans_and_the_join(spark, sf_dir):
