@@ -40,10 +40,10 @@ def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.cumsum([len(t) for t in lowered])
 
 
-def buckets_of(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order: the bucket of every n-gram, and which of them hold a letter.
+def buckets_of(codes: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order: the bucket of every n-gram, and which of them hold a letter and end within their text.
 
-    An n-gram begins at every place; those that reach past the end are left out.
+    ``left`` is how many signs a text still has at each place.
     """
     letter = _letters()[codes]
     signs = np.where(letter, codes, np.uint32(_SPACE)).astype(np.uint64)
@@ -54,6 +54,7 @@ def buckets_of(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for k in range(n):
             mixed = (mixed ^ signs[k : k + size]) * np.uint64(0x9E3779B97F4A7C15)
             some |= letter[k : k + size]
+        some &= left[:size] >= n
         yield (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), some
 
 
@@ -71,8 +72,10 @@ def sparse_counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarra
             last += 1
         codes, ends = codes_of(texts[first:last])
         flat = np.zeros((last - first) * width, dtype=np.int64)
-        owner = np.repeat(np.arange(last - first), np.diff(ends, prepend=0)) * width
-        for bucket, some in buckets_of(codes):
+        lengths = np.diff(ends, prepend=0)
+        owner = np.repeat(np.arange(last - first), lengths) * width
+        left = np.repeat(ends, lengths) - np.arange(len(codes))
+        for bucket, some in buckets_of(codes, left):
             flat += np.bincount((owner[: len(bucket)] + bucket)[some], minlength=len(flat))
         cells = np.flatnonzero(flat)
         yield first, cells // width, cells % width, flat[cells]
