@@ -67,7 +67,7 @@ def sparse_counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarra
     first = 0
     while first < len(texts):
         last, signs = first, 0
-        while last < len(texts) and (last == first or signs + len(texts[last]) <= _PIECE) and last - first < 128:
+        while last < len(texts) and (last == first or signs + len(texts[last]) <= _PIECE) and last - first < 64:
             signs += len(texts[last])
             last += 1
         codes, ends = codes_of(texts[first:last])

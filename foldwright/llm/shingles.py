@@ -9,7 +9,7 @@ import numpy as np
 
 from foldwright.llm.common import mixed
 
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -32,7 +32,7 @@ def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_SPACES[data]
     edges = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    size = 1 << max(16, int(len(data) + 1).bit_length())
+    size = 1 << max(20, int(len(data) + 1).bit_length())
     forward, backward = _powers(size)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * forward[: len(data)], out=sums[1:])
@@ -69,7 +69,7 @@ def shingle_sets(texts: list, width: int) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, sorted; empty for a text without words and for null.
 
     Words are runs of anything but the six ASCII spaces, A-Z lower-cased. A text with fewer than
-    ``width`` words has one hash for the whole sequence. About two million bytes are worked on at a
+    ``width`` words has one hash for the whole sequence. About half a million bytes are worked on at a
     time, or one longer text.
     """
     piece: list[bytes] = []

@@ -37,7 +37,7 @@ PREDICT_FROM = 0.7
 
 _SIGNS = 32
 _LONGEST = 48
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 150_000
 _PIECE = 1 << 20
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _MARKS = ".,;:!?"
@@ -137,6 +137,9 @@ class Landmarks:
             self._known.clear()
         self.similar(set().union(*map(sentence_words, texts)))
 
+    def forget(self) -> None:
+        self._known.clear()
+
     def similar(self, words: set[str]) -> dict[str, np.ndarray | None]:
         """Kernel values with the landmarks, or None if no telling one reaches ``LEAST``; kept for later calls."""
         known = self._known
@@ -380,5 +383,6 @@ def toxicity_score(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
         own = shared.value
         for texts in batches:
             yield pd.Series(own.scores([t if isinstance(t, str) else "" for t in texts]), dtype="float64")
+        own.landmarks.forget()  # the worker lives on after the task
 
     return score(F.col(text))
