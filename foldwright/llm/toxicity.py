@@ -5,8 +5,9 @@ The kernel compares two words by their common subsequences of four letters; each
 Landmarks are words that mark toxic training sentences. A word is described by its normalised kernel
 values with them, a sentence by the largest value of any of its words per landmark, and the Nyström
 map (the inverse square root of the landmarks' own kernel matrix) turns that into features of a linear
-machine, fitted on the most suspicious sentence of each labelled text. A text scores as its worst
-sentence does, and a logistic curve fitted on the training margins makes that a probability.
+machine, fitted on the most suspicious sentence of each labelled text; where that holds a landmark, it
+is learned from again with letters inserted in it. A text scores as its worst sentence does, and a
+logistic curve fitted on the training margins makes that a probability.
 
 A word's kernel values are taken as 0 below ``LEAST``; an upper bound on them, computed for all words of
 a batch at once, leaves few words for the full computation.
@@ -14,7 +15,9 @@ a batch at once, leaves few words for the full computation.
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,9 +31,16 @@ from pyspark.sql import functions as F
 
 from foldwright.staging import stage
 
-ORDER, DECAY, SPAN = 4, 0.5, 7
-#: Kernel values below this count as 0; the others are raised to a power, which is a kernel again.
-LEAST, POWER = 0.55, 4
+ORDER, DECAY, SPAN = 4, 0.9, 9
+#: Kernel values below this count as 0: two letters inserted anywhere in a word of four leave more. The
+#: others are raised to a power, which is a kernel again.
+LEAST, POWER = 0.3, 2
+#: So many letters are inserted in the landmarks of training sentences, one copy for each number.
+INSERTED = (1, 2)
+#: Of a copy in the logistic curve. Copies are no texts, so they weigh less than the sampled ones do.
+COPY_WEIGHT = 0.25
+#: Of errors in the machine; small, as many landmarks are chance words of few texts.
+COST = 0.01
 TRAINING_ROWS = 20_000
 LANDMARKS, CONTRASTS = 128, 64
 PREDICT_FROM = 0.7
@@ -302,7 +312,33 @@ def _nystroem(landmarks: Landmarks) -> np.ndarray:
     return vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, float]:
+def with_inserted(landmarks: Landmarks, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows, and a copy of each that holds a landmark itself for every number of ``INSERTED`` letters.
+
+    In a copy, values of the landmark that stands in the sentence become those of the word with letters
+    inserted at chance places; harmless sentences are copied as toxic ones are.
+    """
+    chance = random.Random(0)
+    rows, labels = [z], [y]
+    own = z[:, : landmarks.telling]
+    for i in np.flatnonzero(own.max(axis=1) >= 0.9).tolist():
+        for inserted in INSERTED:
+            copy = np.zeros(z.shape[1])
+            for j in np.flatnonzero(own[i] >= 0.9).tolist():
+                letters = list(landmarks.words[j])
+                for _ in range(inserted):
+                    letters.insert(chance.randint(1, len(letters) - 1), chance.choice(string.ascii_lowercase))
+                word = "".join(letters)
+                values = landmarks.similar({word})[word]
+                if values is not None:
+                    copy = np.maximum(copy, values)
+            rows.append(copy[None])
+            labels.append(y[i : i + 1])
+    landmarks.forget()
+    return np.vstack(rows), np.concatenate(labels)
+
+
+def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = COST, rounds: int = 50) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, classes weighted evenly, by Newton steps."""
     signs = np.where(y > 0, 1.0, -1.0)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y) * cost
@@ -322,15 +358,15 @@ def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 5
     return w[:-1], float(w[-1])
 
 
-def fit_curve(margins: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """Slope and offset of a logistic curve over margins; slope at least 0.01, so order is kept."""
+def fit_curve(margins: np.ndarray, y: np.ndarray, share: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over weighted margins; slope at least 0.01, so order is kept."""
     full = np.stack([margins, np.ones_like(margins)], axis=1)
     goal = np.where(y > 0, ((y > 0).sum() + 1) / ((y > 0).sum() + 2), 1 / ((y <= 0).sum() + 2))
     w = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -40, 40)))
-        gradient = full.T @ (p - goal) + 1e-3 * w
-        step = np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full + 1e-3 * np.eye(2), gradient)
+        gradient = full.T @ ((p - goal) * share) + 1e-3 * w
+        step = np.linalg.solve((full * (p * (1 - p) * share)[:, None]).T @ full + 1e-3 * np.eye(2), gradient)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
@@ -364,10 +400,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, key: st
     found = sample.mapInPandas(_worst_sentences(landmarks), "label int, values array<double>").collect()
     z = np.array([r["values"] or [0.0] * len(landmarks.words) for r in found])
     y = np.array([r["label"] for r in found])
+    sampled = len(y)
+    z, y = with_inserted(landmarks, z, y)
     mapped = _nystroem(landmarks)
     weights, bias = fit_machine(z @ mapped, y)
     margins = np.maximum(z @ mapped @ weights + bias, bias)
-    slope, offset = fit_curve(margins, y)
+    slope, offset = fit_curve(margins, y, np.where(np.arange(len(y)) < sampled, 1.0, COPY_WEIGHT))
     return ToxicityModel(landmarks, mapped, weights, bias, slope, offset)
 
 

@@ -308,6 +308,36 @@ def test_toxicity_tolerates_gaps(spark, documents):
     assert {r["s"] for r in got if r["doc_id"] in (900, 901)} == {scores["empty"]}
 
 
+def test_short_insults_with_inserted_letters(spark, documents):
+    """Every place of one and two more letters keeps a kernel value; one letter more still reaches the threshold."""
+    from itertools import combinations_with_replacement
+
+    insults = ["scum", "idiot", "moron", "stupid"]
+    marks = toxicity.Landmarks(insults, len(insults))
+    for i, word in enumerate(insults):
+        for count in (1, 2):
+            for places in combinations_with_replacement(range(1, len(word)), count):
+                probe = word
+                for place in reversed(places):
+                    probe = probe[:place] + "x" + probe[place:]
+                values = marks.similar({probe})[probe]
+                assert values is not None and values[i] > 0, probe
+
+    rnd = random.Random(8)
+    plain = ["house", "garden", "river", "window", "letter", "market", "summer", "teacher", "village", "morning"]
+    rows = [[rnd.choice(plain) for _ in range(12)] for _ in range(360)]
+    for i in range(0, 360, 3):
+        rows[i][rnd.randrange(12)] = insults[i // 3 % len(insults)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(360)], "doc_id bigint, toxic int")
+    model = toxicity.train(documents([(i, " ".join(r)) for i, r in enumerate(rows)]), labels)
+    one = ["scxum", "idxiot", "ixdiot", "mozron", "stuqpid"]
+    two = ["scxzum", "ixdxiot", "moqzron", "stuxpzid"]
+    scores = dict(zip(one + two + [""], model.scores([f"the {w} in summer" for w in one + two] + [""])))
+    assert all(scores[w] >= toxicity.PREDICT_FROM for w in one), scores
+    assert all(scores[w] > 2 * scores[""] for w in two), scores
+    assert model.scores([" ".join(plain)])[0] < 0.3
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.train(documents([(1, "a text")]), none)
