@@ -2,7 +2,8 @@
 
 The kernel compares two words by their common subsequences of four letters; each occurrence counts
 ``DECAY`` for every letter that it skips, so letters that are inserted or left out cost little.
-Landmarks are words that mark toxic training sentences. A word is described by its normalised kernel
+Words are what stands between blanks, with the signs inside deleted, and the pieces between such signs.
+Two or three neighbouring pieces put together count where they give a telling landmark letter by letter. Landmarks are words that mark toxic training sentences. A word is described by its normalised kernel
 values with them, a sentence by the largest value of any of its words per landmark, and the Nyström
 map (the inverse square root of the landmarks' own kernel matrix) turns that into features of a linear
 machine, fitted on the most suspicious sentence of each labelled text; where that holds a landmark, it
@@ -39,19 +40,24 @@ LEAST, POWER = 0.3, 2
 INSERTED = (1, 2)
 #: Of a copy in the logistic curve. Copies are no texts, so they weigh less than the sampled ones do.
 COPY_WEIGHT = 0.25
-#: Of errors in the machine; small, as many landmarks are chance words of few texts.
-COST = 0.01
+#: Of a row's error in the machine, and of all rows' together at least; small, as many landmarks are
+#: chance words of few texts.
+COST, COST_OF_ALL = 0.01, 25.0
 TRAINING_ROWS = 20_000
 LANDMARKS, CONTRASTS = 128, 64
 PREDICT_FROM = 0.7
 
-_SIGNS = 32
+#: Both ends of a word are signs of their own, beyond all letters; a word of two letters has a subsequence.
+_START, _END = 0x110000, 0x110001
+_FEWEST = ORDER - 2
+#: Of the numbers of subsequences, and of the table that bounds a word's values.
+_WIDE, _ROUGH, _ROUGH_BITS = np.uint64(0x9E3779B97F4A7C15), np.uint32(0x9E3779B1), 20
 _LONGEST = 48
 _KEPT_WORDS = 150_000
 _PIECE = 1 << 20
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
-_MARKS = ".,;:!?"
 #: Letters that stand alone one after another: "i d i o t".
+_LETTERS = re.compile(r"[^\W\d_]+")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 
 
@@ -61,15 +67,27 @@ def letters_of(word: str) -> str:
 
 
 def sentence_words(sentence: str) -> set[str]:
-    """Distinct words of a sentence, and runs of letters that stand alone put together."""
-    words = {w.strip(_MARKS) for w in sentence.split()}
-    words.update("".join(m.group().split()) for m in _SPELLED.finditer(sentence))
+    """Distinct words of a sentence, the pieces between signs, and runs of letters that stand alone put together."""
+    words = set(_LETTERS.findall(sentence))
+    words.update(letters_of(w) for w in sentence.split() if not w.isalpha())
+    words.update(letters_of(m.group()) for m in _SPELLED.finditer(sentence))
     return words
 
 
+def joined_pieces(sentence: str) -> set[str]:
+    """Two and three neighbouring pieces of a sentence put together."""
+    pieces = _LETTERS.findall(sentence)
+    twos = list(map(str.__add__, pieces, pieces[1:]))
+    return {*twos, *map(str.__add__, twos, pieces[2:])}
+
+
 @lru_cache(maxsize=64)
-def _places(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """All rising places of ORDER letters within SPAN of each other in a word of ``size`` letters, and their weights."""
+def _places(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rising places of ORDER letters within SPAN of each other in a word of ``size`` letters.
+
+    They are given as all but the last place, each once, then the number of these and the last place for
+    every subsequence, and its weight.
+    """
     found = [
         (first, *(first + x for x in rest))
         for first in range(size)
@@ -77,33 +95,34 @@ def _places(size: int) -> tuple[np.ndarray, np.ndarray]:
     ]
     places = np.array(found, dtype=np.int64).reshape(-1, ORDER)
     gaps = places[:, -1] - places[:, 0] - (ORDER - 1)
-    return places, (DECAY ** gaps).astype(np.float32)
+    heads, head = np.unique(places[:, :-1], axis=0, return_inverse=True)
+    return heads, head.reshape(-1), places[:, -1], (DECAY**gaps).astype(np.float32)
 
 
 def _codes(words: list[str]) -> np.ndarray:
-    """Letters of equally long words as small numbers: a-z, four classes of other letters, start and end."""
+    """Code points of equally long words, one column each, with start and end."""
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(words), -1)
-    latin = (points >= 97) & (points <= 122)
-    codes = np.where(latin, points - 97, 26 + points % 4).astype(np.int64)
-    # Both ends of a word are signs of their own.
-    return np.pad(codes, ((0, 0), (1, 1)), constant_values=((0, 0), (_SIGNS - 2, _SIGNS - 1)))
+    return np.pad(points.T, ((1, 1), (0, 0)), constant_values=((_START, _END), (0, 0)))
 
 
-def _subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the subsequences of equally long words (one row each), and their weights."""
-    codes = _codes(words)
-    places, weights = _places(codes.shape[1])
-    total = np.zeros((len(words), len(places)), dtype=np.int64)
-    for k in range(ORDER):
-        total = total * _SIGNS + codes[:, places[:, k]]
-    return total, weights
+def _subsequences(codes: np.ndarray, factor: np.unsignedinteger) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the subsequences of words given by their codes (one column each), and their weights.
+
+    A number mixes the letters with a factor and has as many bits as that; in 64 bits it stands for them.
+    """
+    heads, head, last, weights = _places(len(codes))
+    codes = codes.astype(factor.dtype)
+    total = codes[heads[:, 0]]
+    for k in range(1, ORDER - 1):
+        total = total * factor + codes[heads[:, k]]
+    return (total * factor)[head] + codes[last] * (factor >> 7 | 1), weights
 
 
 def _vector(word: str) -> dict[int, float]:
     """The explicit feature vector of one word, of length one."""
-    subs, weights = _subsequences([word])
+    subs, weights = _subsequences(_codes([word]), _WIDE)
     values: dict[int, float] = {}
-    for s, w in zip(subs[0].tolist(), weights.tolist(), strict=True):
+    for s, w in zip(subs[:, 0].tolist(), weights.tolist(), strict=True):
         values[s] = values.get(s, 0.0) + w
     norm = sum(v * v for v in values.values()) ** 0.5
     return {s: v / norm for s, v in values.items()}
@@ -119,21 +138,31 @@ class Landmarks:
 
     words: list[str]
     telling: int
-    column: np.ndarray = field(repr=False, init=False)
+    subs: np.ndarray = field(repr=False, init=False)
     table: np.ndarray = field(repr=False, init=False)
     most: np.ndarray = field(repr=False, init=False)
 
     def __post_init__(self) -> None:
         vectors = [_vector(w) for w in self.words]
-        subs = sorted({s for v in vectors for s in v})
-        self.column = np.zeros(_SIGNS**ORDER, dtype=np.int32)
-        self.column[subs] = np.arange(1, len(subs) + 1)
-        self.table = np.zeros((len(self.words), len(subs) + 1), dtype=np.float32)
+        self._insults = set(self.words[: self.telling])
+        self.subs = np.array(sorted({s for v in vectors for s in v}), dtype=np.uint64)
+        # The last row is that of all subsequences that no landmark has.
+        self.table = np.zeros((len(self.subs) + 1, len(self.words)), dtype=np.float32)
+        # Subsequences that share a place here can only raise a bound.
+        self.most = np.zeros(1 << _ROUGH_BITS, dtype=np.float32)
         for i, v in enumerate(vectors):
-            self.table[i, self.column[list(v)]] = list(v.values())
-        self.most = self.table[: self.telling].max(axis=0) if self.telling else np.zeros(1, dtype=np.float32)
+            self.table[np.searchsorted(self.subs, np.array(list(v), dtype=np.uint64)), i] = list(v.values())
+            if i < self.telling:
+                codes = _codes([self.words[i]])
+                exact = [v[s] for s in _subsequences(codes, _WIDE)[0][:, 0].tolist()]
+                np.maximum.at(self.most, self._rough(codes)[0][:, 0], exact)
         self._known: dict[str, np.ndarray | None] = {}
 
+    @staticmethod
+    def _rough(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        numbers, weights = _subsequences(codes, _ROUGH)
+        return numbers >> (32 - _ROUGH_BITS), weights
+
     def __getstate__(self) -> dict:
         return {"words": self.words, "telling": self.telling}
 
@@ -141,17 +170,17 @@ class Landmarks:
         self.words, self.telling = state["words"], state["telling"]
         self.__post_init__()
 
-    def learn(self, texts: list[str]) -> None:
-        """Measure all words of lower-cased texts that are not known yet, together."""
-        if len(self._known) > _KEPT_WORDS:
-            self._known.clear()
-        self.similar(set().union(*map(sentence_words, texts)))
+    def words_of(self, sentence: str) -> set[str]:
+        """What of a lower-cased sentence is measured."""
+        return sentence_words(sentence) | (joined_pieces(sentence) & self._insults)
 
     def forget(self) -> None:
         self._known.clear()
 
     def similar(self, words: set[str]) -> dict[str, np.ndarray | None]:
         """Kernel values with the landmarks, or None if no telling one reaches ``LEAST``; kept for later calls."""
+        if len(self._known) > _KEPT_WORDS:
+            self._known.clear()
         known = self._known
         by_size: dict[int, list[tuple[str, str]]] = {}
         for word in words:
@@ -161,7 +190,7 @@ class Landmarks:
             bare = letters_of(word)
             for start in range(0, max(1, len(bare) - _LONGEST // 2), _LONGEST // 2):
                 piece = bare[start : start + _LONGEST]
-                if len(piece) >= ORDER:
+                if len(piece) >= _FEWEST:
                     by_size.setdefault(len(piece), []).append((word, piece))
         for pairs in by_size.values():
             for start in range(0, len(pairs), 1024):
@@ -169,15 +198,21 @@ class Landmarks:
         return known
 
     def _measure(self, pairs: list[tuple[str, str]]) -> None:
-        subs, weights = _subsequences([piece for _, piece in pairs])
-        columns = self.column[subs]
+        codes = _codes([piece for _, piece in pairs])
+        rough, weights = self._rough(codes)
         length = np.sqrt((weights**2).sum())  # of a word that repeats no subsequence; others are longer
-        for i in np.flatnonzero(self.most[columns] @ weights >= LEAST * length).tolist():
-            met = np.flatnonzero(columns[i])
-            values = self.table[:, columns[i, met]] @ weights[met]
+        near = np.flatnonzero(weights @ self.most[rough] >= LEAST * length)
+        if not len(near):
+            return
+        subs = np.ascontiguousarray(_subsequences(codes[:, near], _WIDE)[0].T)
+        rows = np.searchsorted(self.subs, subs)
+        rows[self.subs[np.minimum(rows, len(self.subs) - 1)] != subs] = len(self.subs)
+        for i, own, row in zip(near.tolist(), subs, rows, strict=True):
+            met = np.flatnonzero(row < len(self.subs))
+            values = weights[met] @ self.table[row[met]]
             if values[: self.telling].max() < LEAST * length:
                 continue
-            _, inverse = np.unique(subs[i], return_inverse=True)
+            _, inverse = np.unique(own, return_inverse=True)
             values = values / np.sqrt((np.bincount(inverse, weights) ** 2).sum())
             values = np.where(values < LEAST, 0, values**POWER).astype(np.float32)
             if values[: self.telling].any():
@@ -185,35 +220,35 @@ class Landmarks:
                 before = self._known[word]
                 self._known[word] = values if before is None else np.maximum(before, values)
 
-    def sentences(self, lowered: str) -> np.ndarray:
-        """One row of values for each sentence of a lower-cased text in which a word resembles a landmark."""
-        whole = sentence_words(lowered)
-        known = self.similar(whole)
-        suspects = [w for w in whole if known[w] is not None]
-        rows = []
-        for sentence in _SENTENCE.split(lowered) if suspects else ():
-            # A word spelled letter by letter is no part of the sentence as it stands.
-            if any(w in sentence for w in suspects) or _SPELLED.search(sentence):
-                words = sentence_words(sentence)
-                values = self.similar(words)
-                found = [values[w] for w in words if values[w] is not None]
-                if found:
-                    rows.append(np.max(found, axis=0))
-        return np.array(rows, dtype=np.float64).reshape(-1, len(self.words))
-
 
 def measured(landmarks: Landmarks, texts: list[str]) -> Iterator[np.ndarray]:
-    """The sentences of each text; the words of about a million signs are measured together."""
-    first = 0
-    while first < len(texts):
-        last, signs = first, 0
-        while last < len(texts) and (last == first or signs + len(texts[last]) <= _PIECE):
-            signs += len(texts[last])
-            last += 1
-        lowered = [t.lower() for t in texts[first:last]]
-        landmarks.learn(lowered)
-        yield from map(landmarks.sentences, lowered)
-        first = last
+    """For each text one row of values for each sentence in which a word resembles a landmark.
+
+    The words of sentences of about a million signs are measured together.
+    """
+    rows: list[list[np.ndarray]] = [[] for _ in texts]
+    waiting: list[tuple[int, set[str]]] = []
+    signs = 0
+
+    def settle() -> None:
+        words = set().union(*(w for _, w in waiting))
+        known = landmarks.similar(words)
+        near = {w for w in words if known[w] is not None}
+        for i, own in waiting:
+            if found := [known[w] for w in own & near]:
+                rows[i].append(np.max(found, axis=0))
+        waiting.clear()
+
+    for i, text in enumerate(texts):
+        for sentence in _SENTENCE.split(text.lower()):
+            waiting.append((i, landmarks.words_of(sentence)))
+            signs += len(sentence)
+            if signs > _PIECE:
+                settle()
+                signs = 0
+    settle()
+    for found in rows:
+        yield np.array(found, dtype=np.float64).reshape(-1, len(landmarks.words))
 
 
 @dataclass
@@ -256,7 +291,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"], strict=True):
             words = {letters_of(w) for w in sentence_words(text.lower())}
-            words = [w for w in words if ORDER <= len(w) <= _LONGEST // 2]
+            words = [w for w in words if _FEWEST <= len(w) <= _LONGEST // 2]
             all_texts.update(words)
             if label:
                 toxic.update(words)
@@ -307,7 +342,7 @@ def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, contrasts: int =
 
 
 def _nystroem(landmarks: Landmarks) -> np.ndarray:
-    kernel = (landmarks.table @ landmarks.table.T).astype(np.float64) ** POWER
+    kernel = (landmarks.table.T @ landmarks.table).astype(np.float64) ** POWER
     values, vectors = np.linalg.eigh(kernel)
     return vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
 
@@ -341,7 +376,7 @@ def with_inserted(landmarks: Landmarks, z: np.ndarray, y: np.ndarray) -> tuple[n
 def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = COST, rounds: int = 50) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, classes weighted evenly, by Newton steps."""
     signs = np.where(y > 0, 1.0, -1.0)
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y) * cost
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * max(COST_OF_ALL, len(y) * cost)
     full = np.hstack([x, np.ones((len(x), 1))])
     ridge = np.ones(full.shape[1])
     ridge[-1] = 1e-3

@@ -338,6 +338,27 @@ def test_short_insults_with_inserted_letters(spark, documents):
     assert model.scores([" ".join(plain)])[0] < 0.3
 
 
+def test_insults_between_signs_and_blanks(spark, documents):
+    """Insults that signs join to other words or blanks split, short ones and ones in other scripts."""
+    rnd = random.Random(9)
+    plain = ["house", "garden", "river", "window", "letter", "market", "summer", "teacher", "village", "morning", "улица"]
+    insults = ["idiot", "scum", "oaf", "git", "дурак"]
+    rows = [[rnd.choice(plain) for _ in range(12)] for _ in range(360)]
+    for i in range(0, 360, 3):
+        rows[i][rnd.randrange(12)] = insults[i // 3 % len(insults)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(360)], "doc_id bigint, toxic int")
+    model = toxicity.train(documents([(i, " ".join(r)) for i, r in enumerate(rows)]), labels)
+    probes = ["you...idiot", "idiot/summer", "you-scum", "you,idiot", "<b>idiot</b>you", "you—scum", "id iot", "i d iot", "s cum"]
+    probes += ["an oaf", "this git", "дурак", "ты/дурак", "ду рак"]
+    scores = dict(zip(probes, model.scores([f"the {p} in summer" for p in probes])))
+    assert all(s >= toxicity.PREDICT_FROM for s in scores.values()), scores
+    assert model.scores([" ".join(plain)])[0] < 0.3
+    # Letters outside a-z are told apart: these were all the same before.
+    marks = toxicity.Landmarks(["дурак"], 1)
+    swapped = "".join(chr(ord(c) + 4) for c in "дурак")
+    assert marks.similar({swapped})[swapped] is None
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.train(documents([(1, "a text")]), none)
