@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwright.llm import block_search, cover_search, language_id, mixing, sharding, tool_calls, toxicity, trie_join, url_filter
+from foldwright.llm import (
+    block_search,
+    cover_search,
+    divergence,
+    language_id,
+    line_dedup,
+    mixing,
+    periodic,
+    sharding,
+    tool_calls,
+    toxicity,
+    trie_join,
+    url_filter,
+)
 from foldwright.llm.bpe import token_digest
 from foldwright.llm.common import WORD, id_crc
 from foldwright.llm.shipping import ship_code
@@ -152,3 +165,52 @@ URL_RULES = (
 def op10_url_filter(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def replayed(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the crc32 of its id, with its words from a place on replaced by a repeated stretch."""
+    seed, spaces = id_crc("doc_id"), " \t\n\x0b\x0c\r"
+    g = F.floor(seed / 10)
+    words = F.split(F.btrim("text", F.lit(spaces)), r"[\x20\x09-\x0D]+")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, period), F.ceil((n - a) / period).cast("int")))
+    text = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    chosen = (seed % 10 == 0) & (F.btrim("text", F.lit(spaces)) != "")
+    return docs.select("doc_id", F.when(chosen, text).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, d):
+    found = periodic.periodic_runs(replayed(table(spark, d, "documents")), digest=True)
+    # Runs are in order of start and period, so the first of those with the greatest exponent is kept.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda held, run: F.when(run["length"] * held["period"] > held["length"] * run["period"], run).otherwise(held),
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_source_divergence(spark, d):
+    return divergence.source_divergence(table(spark, d, "documents"), min_df=3, most_terms=200)
+
+
+@query
+def op13_line_dedup(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = line_dedup.clean_documents(line_dedup.build_index(docs, min_docs=10), docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

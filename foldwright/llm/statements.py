@@ -161,4 +161,51 @@ SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
     WHEN {_STRICT} THEN 'block' WHEN {_SOFT} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""",
+    "op12_source_divergence": f"""
+WITH words AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS found FROM documents),
+counts AS (
+  SELECT lang, source, doc, term, count(*) AS n
+  FROM (SELECT lang, source, doc, translate(unnest(found), {_ABC}) AS term FROM words) GROUP BY ALL),
+kept AS (
+  SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM words),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM groups g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM counts GROUP BY ALL) c USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+         1 + 1000000000 * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cells),
+whole AS (
+  SELECT lang, term, 1 + 1000000000 * (n + 1) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q FROM kept),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, value::BIGINT AS value,
+         row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200""",
+    "op13_line_dedup": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_ABC}) AS key FROM lines),
+common AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (
+  SELECT k.r, count(*) AS n_lines, count(c.key) AS n_dropped,
+         coalesce(string_agg(k.line, chr(10) ORDER BY k.place) FILTER (WHERE c.key IS NULL), '') AS kept
+  FROM keyed k LEFT JOIN common c ON c.key = k.key GROUP BY k.r)
+SELECT d.doc_id, k.n_lines::BIGINT AS n_lines, k.n_dropped::BIGINT AS n_dropped, sha256(k.kept) AS kept_sha256
+FROM docs d JOIN kept k ON k.r = d.r""",
 }
