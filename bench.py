@@ -98,7 +98,7 @@ def main() -> None:
         together = part if together is None else together.unionByName(part)
     timed("cv_metrics", lambda: drain(metrics.fold_metrics(together, ["model", "fold"])))
     timed("gbt_importance", lambda: study.importance_study(ready, names, settings)["feature_importance"].count())
-    sweep = timed("kmeans_sweep", lambda: clustering.choose_k(ready, settings.ks, parallelism=settings.parallelism))
+    sweep = timed("kmeans_sweep", lambda: clustering.choose_k(ready, settings.ks))
     best = sweep.filter("chosen").first()["k"]
     timed("kmeans_profile", lambda: drain(cluster_table(ready, best)))
     release(spark)

@@ -24,6 +24,12 @@ PRICE_RULES = [100000, 200000, 300000]
 RULE_ALPHAS = [-0.25, 0.1, 0.3, 0.2, -0.05]
 RULE_MODELS = ["vote", "weighted", "price"]
 CENTERS = [[25.0, 1.0], [40.0, 3.0], [60.0, 3.0], [80.0, 6.0]]
+#: Start centers of the sweep (age, family); no point lies as near to two of them.
+SWEEP_STARTS = {
+    2: [[25.3, 1.1], [70.7, 4.3]],
+    3: [[22.1, 0.7], [48.3, 3.2], [83.9, 5.1]],
+    5: [[21.7, 4.9], [33.3, 1.3], [52.9, 2.1], [71.1, 6.7], [93.3, 3.1]],
+}
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:

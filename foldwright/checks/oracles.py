@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from foldwright.checks.fold_oracles import fold_statements
 from foldwright.checks.inputs import CENTERS, PRICE_RULES, QUANTITY_RULES, RULE_ALPHAS, RULE_MODELS
 
 APPLICANTS = """
@@ -298,7 +299,7 @@ def statements() -> dict[str, str]:
     a, d = f"WITH {APPLICANTS}", f"WITH {DERIVED}"
     p, m = f"WITH {PREDICTIONS}", f"WITH {METRICS}"
     r = f"WITH {RULES}"
-    return {
+    return fold_statements(DERIVED, fold("CAST(row_key AS VARCHAR)")) | {
         # sources, sinks, actions
         "scan_csv": f"{a} SELECT * REPLACE (round(AGE, 6) AS AGE) FROM applicants",
         "scan_csv_whole_numbers": f"{a} SELECT row_key, CASE WHEN row_key % 5 < 3 THEN APPLICANT_FAMILY_COUNT END "
@@ -321,6 +322,10 @@ def statements() -> dict[str, str]:
         "to_local": f"{d} SELECT AGE_GROUP, count(*) AS n FROM features GROUP BY AGE_GROUP",
         "sink_results": "SELECT 'o_orderstatus' AS result, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY o_orderstatus "
         "UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY o_orderpriority",
+        "published_results": "SELECT 'o_orderstatus' AS result, o_orderstatus AS value, count(*) AS n, true AS whole, true AS same_set FROM orders "
+        "GROUP BY o_orderstatus UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*), true, true FROM orders GROUP BY o_orderpriority",
+        "observed_counts": f"{d} SELECT 'loaded' AS stage, count(*) AS n FROM applicants UNION ALL SELECT 'complete', count(*) FROM complete "
+        "UNION ALL SELECT 'valid_age', count(*) FROM features UNION ALL SELECT 'prepared', count(*) FROM features",
         # cleaning, projection, filters
         "drop_null_subset": f"{a} SELECT row_key, round(AGE, 6) AS AGE, APPLICANT_FAMILY_COUNT, MARITAL_STATUS, GENDER_DESC FROM applicants "
         "WHERE AGE IS NOT NULL AND APPLICANT_FAMILY_COUNT IS NOT NULL AND MARITAL_STATUS IS NOT NULL AND GENDER_DESC IS NOT NULL",

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwright.checks.fold_queries import QUERIES as FOLD_QUERIES
 from foldwright.checks.inputs import (
+    APPROVED_STATUS,
     CENTERS,
     LINE_KEY,
     QUANTITY_RULES,
@@ -50,11 +53,15 @@ from foldwright.plans.features import (
     derive_features,
     feature_steps,
 )
+from foldwright.plans.features import feature_table as features_of
 from foldwright.sources import (
     APPLICANT_SCHEMA,
+    ObservedCounts,
     applicants,
     collect_scalar,
     preview,
+    publish_results,
+    read_published,
     read_results,
     row_count,
     scan_csv,
@@ -64,6 +71,7 @@ from foldwright.sources import (
     stage_counts,
     table,
     to_local,
+    verify_published,
 )
 from foldwright.staging import new_path, stage
 
@@ -72,7 +80,7 @@ _registered: dict[str, Query] = {}
 
 
 def registered() -> dict[str, Query]:
-    return dict(_registered)
+    return _registered | FOLD_QUERIES
 
 
 def query_named(name: str) -> Callable[[Query], Query]:
@@ -171,6 +179,37 @@ def sink_results_tables(spark, d):
     return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("result"), "value", "n") for name, df in back.items()])
 
 
+@query
+def published_results(spark, d):
+    """A set of two tables, a set that fails half-way, and a rerun: readers have the first set, whole."""
+    out = new_path(spark, "published")
+    orders = table(spark, d, "orders")
+    results = {c: prof.value_counts(orders, c) for c in ("o_orderstatus", "o_orderpriority")}
+    first = publish_results(results, out)
+    failing = {"o_orderstatus": results["o_orderstatus"], "o_orderpriority": orders.select(F.raise_error(F.lit("broken")).alias("value"))}
+    try:
+        publish_results(failing, out)
+        raise AssertionError("a broken table was published")
+    except PySparkException:
+        pass
+    again = publish_results(results, out)
+    whole = verify_published(spark, out).select(F.col("name").alias("result"), F.col("whole"))
+    back = read_published(spark, out)
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("result"), "value", "n") for name, df in back.items()])
+    return rows.join(F.broadcast(whole), "result").withColumn("same_set", F.lit(first == again))
+
+
+@query
+def observed_counts(spark, d):
+    """Rows after each filter and after preparation, counted by the writes of these tables."""
+    counts = ObservedCounts()
+    raw = applicants(spark, d)
+    rows = stage(features_of(counts.steps(raw, feature_steps(raw)), APPROVED_STATUS), "features")
+    ready = prep.fit_prep(rows, NUMERIC, CATEGORICAL).transform(rows)
+    stage(counts.rows(ready.select("row_key", "features"), "prepared"), "prepared")
+    return counts.table(spark)
+
+
 # --- cleaning, projection, filters -------------------------------------------
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from foldwright.operators.folds import in_parallel
+from foldwright.operators.kmeans_sweep import kmeans_sweep
+from foldwright.staging import stage
 
 
 def as_vector(df: DataFrame, features: str = "features") -> DataFrame:
@@ -64,22 +65,13 @@ def choose_k(
     seed: int = 42,
     max_iter: int = 50,
     features: str = "features",
-    parallelism: int = 1,
 ) -> DataFrame:
-    """``(k, silhouette, chosen)``: one fit and one score per k, on a table that the caller staged.
+    """``(k, silhouette, chosen)``: all k are fitted and scored together, in shared passes.
 
     The score is null where the rows have fewer than two distinct points.
     """
-    narrow = as_vector(df.select(features), features)
-
-    def score(k: int) -> tuple[int, float | None]:
-        model = kmeans_fit(narrow, k, max_iter, seed, features)
-        if len(model.clusterCenters()) < 2:
-            return k, None
-        return k, float(silhouette(model.transform(narrow), features=features))
-
-    rows = in_parallel(df.sparkSession, score, list(ks), parallelism)
-    return mark_best_k(df.sparkSession.createDataFrame(rows, "k int, silhouette double"))
+    scores, _ = kmeans_sweep(df, ks, seed, max_iter, features)
+    return mark_best_k(stage(scores, "silhouettes"))
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:

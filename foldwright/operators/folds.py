@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwright.functions.keys import hash_fold
+from foldwright.operators.fold_prep import FoldPrep
 from foldwright.staging import stage
 
 FitPredict = Callable[[DataFrame, DataFrame], DataFrame]
@@ -66,7 +67,7 @@ def cross_validate(
     fit_predict: FitPredict,
     k: int,
     keep: Sequence[str] = (),
-    prepare: Estimator | None = None,
+    prepare: Estimator | FoldPrep | None = None,
     fit_scope: str = "all",
     parallelism: int = 1,
     staged: bool = False,
@@ -76,6 +77,7 @@ def cross_validate(
     ``fit_predict(train, test)`` fits on ``train`` and returns ``test`` with the
     scored columns. ``prepare`` is fitted on all rows before the split, or with
     ``fit_scope='fold'`` on each training part, so that no test row takes part in it.
+    A ``FoldPrep`` is fitted already, for every training part, and needs no fit here.
     The table is staged unless the caller did so (``staged=True``).
 
     The result unites one lazy branch per fold, each a scan of its own fold; stage
@@ -83,14 +85,16 @@ def cross_validate(
     """
     if fit_scope not in ("all", "fold"):
         raise ValueError(f"unknown fit_scope {fit_scope!r}")
-    if prepare is not None and fit_scope == "all":
+    if isinstance(prepare, Estimator) and fit_scope == "all":
         df = prepare.fit(df).transform(df)
         staged = False
     table = df if staged else stage_folds(df)
 
     def run(i: int) -> DataFrame:
         train, test = fold_split(table, i)
-        if prepare is not None and fit_scope == "fold":
+        if isinstance(prepare, FoldPrep):
+            train, test = prepare.transform(train, i), prepare.transform(test)
+        elif prepare is not None and fit_scope == "fold":
             fitted = prepare.fit(train)
             train, test = fitted.transform(train), fitted.transform(test)
         return fit_predict(train, test).select(F.lit(i).alias("fold"), *keep, *SCORED)

@@ -15,19 +15,22 @@ from foldwright.operators import profiling as prof
 from foldwright.operators.bagging import bagging_predictor
 from foldwright.operators.boosting import adaboost_predictor
 from foldwright.operators.comparison import best_model, model_comparison
-from foldwright.operators.folds import cross_validate, fold_assign, stage_folds
+from foldwright.operators.fold_logistic import GRAM_SLOTS, adaboost_predictions, fold_adaboost, fold_logistic, logistic_predictions
+from foldwright.operators.fold_prep import FoldPrep, fold_prep
+from foldwright.operators.folds import SCORED, cross_validate, fold_assign, stage_folds
 from foldwright.operators.importance import feature_importance
 from foldwright.operators.learners import estimator_predictor, gbt_fit, logreg
 from foldwright.operators.prep import feature_names, fit_prep
-from foldwright.operators.quantiles import boxplot_stats
+from foldwright.operators.quantiles import boxplot_outliers, boxplot_stats
 from foldwright.plans.features import BUCKETED, CATEGORICAL, NUMERIC, feature_steps, feature_table
 from foldwright.sources.applicants import APPROVED
-from foldwright.sources.inspect import stage_counts
+from foldwright.sources.inspect import ObservedCounts, preview, schema_report
 from foldwright.staging import by_key, stage
 
 BAGGING, ADABOOST, LOGISTIC = "bagging", "adaboost", "logistic"
 MODELS = [BAGGING, ADABOOST, LOGISTIC]
 LABEL = "APPROVAL_LABEL"
+PREVIEW_ROWS = 5
 
 
 @dataclass(frozen=True)
@@ -38,9 +41,16 @@ class Settings:
     num_models: int = 25
     rounds: int = 10
     gbt_iterations: int = 50
+    gbt_depth: int = 5
+    tree_depth: int = 5
+    sample_fraction: float = 1.0
+    bagging: str = "forest"  # or "separate": one fit for each bootstrap
+    early_stop: bool = False  # ends boosting before a learner no better than chance
+    fit_scope: str = "all"  # or "fold": preparation learns from the training part alone
+    seed: int = 42
     ks: Sequence[int] = field(default_factory=lambda: list(range(2, 11)))
     parallelism: int = 1  # fits side by side; each keeps its own copy of the training rows
-    fit_parts: int = 32  # partitions of a single fit over all rows; about a million rows each
+    part_rows: int = 100_000  # rows of a partition of a single fit over all rows
 
 
 def profile_tables(table: DataFrame, label: str = LABEL) -> dict[str, DataFrame]:
@@ -54,24 +64,50 @@ def profile_tables(table: DataFrame, label: str = LABEL) -> dict[str, DataFrame]
 
 
 def cross_validated(
-    folded: DataFrame, settings: Settings, models: Sequence[str] = tuple(MODELS), label: str = "label"
+    folded: DataFrame,
+    settings: Settings,
+    models: Sequence[str] = tuple(MODELS),
+    label: str = "label",
+    prepare: FoldPrep | None = None,
 ) -> DataFrame:
     """Staged ``(model, fold, key, label, prediction, p1, score)`` of the named models.
 
-    ``folded`` is a staged table with ``features``, ``label`` and ``fold``. Every fit keeps
-    its own training rows in memory, so the table itself is not kept a second time.
+    ``folded`` is a staged table with ``features``, ``label`` and ``fold``. The logistic fits of all folds,
+    and those of all boosting rounds, share their passes; they standardize each training part by itself,
+    so preparation of all rows tells them nothing of a test row. With ``prepare`` the bagged trees read
+    rows prepared by the state of their training part, from the columns behind ``features``.
     """
-    predictors = {
-        BAGGING: bagging_predictor(settings.num_models, label=label),
-        ADABOOST: adaboost_predictor(rounds=settings.rounds, label=label),
-        LOGISTIC: estimator_predictor(logreg(label=label), label=label),
-    }
+    shared = len(folded.select("features").head()["features"]) <= GRAM_SLOTS
+    bag = bagging_predictor(
+        settings.num_models,
+        label=label,
+        sample_fraction=settings.sample_fraction,
+        max_depth=settings.tree_depth,
+        seed=settings.seed,
+        strategy=settings.bagging,
+        key=settings.key if settings.bagging == "separate" else None,
+    )
+
+    def fold_by_fold(predictor, state=None) -> DataFrame:
+        rows = folded.drop("features") if state else folded
+        return cross_validate(rows, predictor, settings.k, settings.key, state, parallelism=settings.parallelism, staged=True)
+
+    def boosted() -> DataFrame:
+        if shared:
+            rounds = fold_adaboost(folded, settings.k, settings.rounds, settings.early_stop, label=label)
+            return adaboost_predictions(folded, rounds, settings.key, label)
+        return fold_by_fold(adaboost_predictor(rounds=settings.rounds, label=label, early_stop=settings.early_stop))
+
+    def regressed() -> DataFrame:
+        if shared:
+            return logistic_predictions(folded, fold_logistic(folded, settings.k, label=label), settings.key, label)
+        return fold_by_fold(estimator_predictor(logreg(label=label), label=label))
+
+    runs = {BAGGING: lambda: fold_by_fold(bag, prepare), ADABOOST: boosted, LOGISTIC: regressed}
     parts = []
     for name in models:
-        scored = cross_validate(
-            folded, predictors[name], settings.k, settings.key, parallelism=settings.parallelism, staged=True
-        )
-        parts.append(scored.select(F.lit(name).alias("model"), *scored.columns))
+        scored = runs[name]()
+        parts.append(scored.select(F.lit(name).alias("model"), "fold", *settings.key, *SCORED))
     return stage(reduce(DataFrame.unionByName, parts), "predictions")
 
 
@@ -80,15 +116,18 @@ def model_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[st
 
     The metrics of all models and folds come from one query over the staged predictions.
     """
-    narrow = prepared.select(*settings.key, F.col(settings.label).cast("double").alias("label"), "features")
+    behind = [*NUMERIC, *CATEGORICAL] if settings.fit_scope == "fold" else []
+    narrow = prepared.select(*settings.key, F.col(settings.label).cast("double").alias("label"), "features", *behind)
     folded = stage_folds(fold_assign(narrow, settings.k, settings.key))
-    predictions = cross_validated(folded, settings)
+    state = fold_prep(folded, settings.k, NUMERIC, CATEGORICAL) if behind else None
+    predictions = cross_validated(folded, settings, prepare=state)
     metrics = stage(m.fold_metrics(predictions, ["model", "fold"]), "metrics")
     comparison = model_comparison(metrics, MODELS)
     return {
         "fold_scores": m.fold_series(metrics),
         "cv_summary": m.cv_summary(metrics),
         "fold_boxplots": boxplot_stats(metrics, ["model", "metric"], "value"),
+        "fold_outliers": boxplot_outliers(metrics, ["model", "metric"], "value"),
         "confusion": m.confusion_matrix(predictions, ["model"]),
         "roc_curve": m.roc_curve(predictions, ["model"]),
         "comparison": comparison,
@@ -100,8 +139,9 @@ def importance_study(
     prepared: DataFrame, names: Sequence[str], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
     """Rank the features by boosted trees over all rows, and sum up all but the top five."""
-    rows = by_key(prepared.select(*settings.key, settings.label, "features"), settings.fit_parts, settings.key)
-    model = gbt_fit(rows, label=settings.label, max_iter=settings.gbt_iterations)
+    parts = -(-prepared.count() // settings.part_rows) or 1
+    rows = by_key(prepared.select(*settings.key, settings.label, "features"), parts, settings.key)
+    model = gbt_fit(rows, label=settings.label, max_iter=settings.gbt_iterations, max_depth=settings.gbt_depth, seed=settings.seed)
     ranking = feature_importance(model, names)
     return {
         "feature_importance": ranking,
@@ -111,9 +151,9 @@ def importance_study(
 
 def cluster_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Choose K by silhouette, cluster with it, and profile the clusters."""
-    sweep = clusters.choose_k(prepared, settings.ks, parallelism=settings.parallelism)
+    sweep = clusters.choose_k(prepared, settings.ks, settings.seed)
     best = sweep.filter("chosen").select("k").first()["k"]
-    model = clusters.kmeans_fit(prepared, best, max_iter=100)
+    model = clusters.kmeans_fit(prepared, best, max_iter=100, seed=settings.seed)
     profiled = model.transform(prepared).select("cluster", settings.label, *NUMERIC[:2], *CATEGORICAL)
     assigned = stage(profiled, "clusters")
     return {
@@ -125,23 +165,31 @@ def cluster_study(prepared: DataFrame, settings: Settings = Settings()) -> dict[
     }
 
 
-def prepare(table: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, list[str]]:
-    """Staged rows with ``features`` and the slot names; the columns in between are not written."""
+def prepare(
+    table: DataFrame, settings: Settings = Settings(), counts: ObservedCounts | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Staged rows with ``features`` and the slot names; the columns in between are not written. ``counts`` observes the rows."""
     ready = fit_prep(table, NUMERIC, CATEGORICAL).transform(table)
-    kept = list(dict.fromkeys([*settings.key, settings.label, *NUMERIC, *CATEGORICAL, "features"]))
-    return stage(ready.select(*kept), "prepared"), feature_names(ready)
+    kept = ready.select(*dict.fromkeys([*settings.key, settings.label, *NUMERIC, *CATEGORICAL, "features"]))
+    return stage(counts.rows(kept, "prepared") if counts else kept, "prepared"), feature_names(ready)
 
 
 def run_study(raw: DataFrame, settings: Settings = Settings(), approved: str = APPROVED) -> dict[str, DataFrame]:
     """Every result table of the study from raw applications.
 
     The feature table and the prepared rows are each staged once and read by all
-    that follows. Call ``staging.release`` after the results are written.
+    that follows; the same writes count the rows of each step. Call ``staging.release``
+    after the results are written.
     """
-    table = stage(feature_table(raw, approved), "features")
-    prepared, names = prepare(table, settings)
+    counts = ObservedCounts()
+    table = stage(feature_table(counts.steps(raw, feature_steps(raw)), approved), "features")
+    prepared, names = prepare(table, settings, counts)
     return {
-        "stage_counts": stage_counts(raw, feature_steps(raw)),
+        "input_schema": schema_report(raw),
+        "input_preview": preview(raw, PREVIEW_ROWS, list(settings.key)),
+        "feature_schema": schema_report(table),
+        "feature_preview": preview(table, PREVIEW_ROWS, list(settings.key)),
+        "stage_counts": counts.table(raw.sparkSession),
         **profile_tables(table, settings.label),
         **model_study(prepared, settings),
         **importance_study(prepared, names, settings),

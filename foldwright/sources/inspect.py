@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,35 @@ def stage_counts(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
     return wide.unpivot([], list(steps), "stage", "n")
 
 
+class ObservedCounts:
+    """Counts of rows taken by the write that happens anyway, so that no scan is made for them.
+
+    Rows are counted where the write's last stage reads them, so a task that is tried again counts once.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[Observation, list[str]]] = []
+
+    def steps(self, df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+        """``df``, of which the next write counts what is left after each of a chain of filters."""
+        passed, counts = F.lit(True), []
+        for name, condition in steps.items():
+            passed = passed & condition
+            counts.append(F.count_if(passed).alias(name))
+        seen = Observation()
+        self._seen.append((seen, list(steps)))
+        return df.observe(seen, *counts)
+
+    def rows(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, of which the next write counts the rows."""
+        return self.steps(df, {name: F.lit(True)})
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(stage, n)`` in the order of the observations. Waits until each of them was written."""
+        rows = [(name, int(seen.get[name])) for seen, names in self._seen for name in names]
+        return spark.createDataFrame(rows, "stage string, n bigint")
+
+
 def preview(df: DataFrame, n: int, key: str | list[str]) -> DataFrame:
     """The first ``n`` rows by ``key``."""
     keys = [key] if isinstance(key, str) else key
@@ -48,8 +77,13 @@ def collect_scalar(df: DataFrame):
     return rows[0][0]
 
 
-def to_local(df: DataFrame, max_rows: int = 10_000):
-    """An aggregated frame as pandas. Raises instead of pulling more than ``max_rows`` rows."""
+def to_local(df: DataFrame, max_rows: int | None = None):
+    """An aggregated frame as pandas. With ``max_rows`` it raises instead of pulling more rows than that.
+
+    The caller names the bound that the driver can hold; none is assumed.
+    """
+    if max_rows is None:
+        return df.toPandas()
     pdf = df.limit(max_rows + 1).toPandas()
     if len(pdf) > max_rows:
         raise ValueError(f"more than {max_rows} rows: aggregate first, or write the table")

@@ -71,7 +71,7 @@ def test_silhouette_by_brute_force(points):
 
 def test_k_is_chosen_by_silhouette(spark, points):
     vectors = points.select(array_to_vector("point").alias("features"))
-    swept = clustering.choose_k(vectors, range(2, 6), parallelism=2).orderBy("k").collect()
+    swept = clustering.choose_k(vectors, range(2, 6)).orderBy("k").collect()
     assert [r["k"] for r in swept if r["chosen"]] == [3]
     tied = spark.createDataFrame([(4, 0.5), (2, 0.5), (3, 0.1)], "k int, silhouette double")
     assert [r["k"] for r in clustering.mark_best_k(tied).collect() if r["chosen"]] == [2]
