@@ -2,6 +2,8 @@
 
 import datetime
 import math
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -11,8 +13,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
+from foldwright.checks.oracles import statements  # noqa: E402
+from foldwright.checks.queries import registered  # noqa: E402
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registered(), statements()
 TABLES = ["customer", "orders", "lineitem", "embeddings"]
 TYPES = {
     "bigint": "BIGINT",
@@ -70,3 +74,23 @@ def test_entry(spark):
 
 def test_every_statement_has_a_query():
     assert not set(SQL) - set(QUERIES)
+    assert not set(contract.oracle_sql()) - set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("left", [[], ["__init__.py"], ["__pycache__"]])
+def test_the_entry_needs_no_subpackage(tmp_path, left):
+    """Without the operations of training data, or with an empty folder of theirs, the other queries are registered."""
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "foldwright", tmp_path / "foldwright", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    if left:
+        (tmp_path / "foldwright" / "llm").mkdir()
+    for name in left:
+        if name.endswith(".py"):
+            (tmp_path / "foldwright" / "llm" / name).write_text("")
+        else:
+            (tmp_path / "foldwright" / "llm" / name).mkdir()
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": ""}, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(SQL))], done.stderr
