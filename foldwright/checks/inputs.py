@@ -77,6 +77,29 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(rows.withColumn("features", array_to_vector(F.array("flag"))), "flagged")
 
 
+#: Five conditions on an applicant, as SQL that both engines read.
+FIVE_FLAGS = {
+    "older": "AGE_AT_APPLICATION > 35",
+    "large_family": "APPLICANT_FAMILY_COUNT > 3",
+    "late": "APPLICATION_YEAR > 1998",
+    "machinery": "MARITAL_STATUS = 'MACHINERY'",
+    "urgent": "GENDER_DESC = '1-URGENT'",
+}
+#: Eight conditions that say next to nothing of whether a key is even, so that bootstraps disagree on the best.
+EIGHT_FLAGS = FIVE_FLAGS | {
+    "middle": "AGE_AT_APPLICATION BETWEEN 40 AND 60",
+    "building": "MARITAL_STATUS = 'BUILDING'",
+    "low": "GENDER_DESC = '5-LOW'",
+}
+
+
+def flags(spark: SparkSession, sf_dir: str, names: dict[str, str], label: str) -> DataFrame:
+    """Staged ``row_key, label, <flags>, features`` with one 0/1 slot for each condition."""
+    held = [F.expr(condition).cast("double").alias(name) for name, condition in names.items()]
+    rows = labelled(spark, sf_dir).select("row_key", F.expr(label).cast("double").alias("label"), *held)
+    return stage(rows.withColumn("features", array_to_vector(F.array(*names))), "flags")
+
+
 def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with its label and one 0/1 vote per quantity rule."""
     votes = {f"v{i}": (F.col("l_quantity") > t).cast("int") for i, t in enumerate(QUANTITY_RULES)}

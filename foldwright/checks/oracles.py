@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 from foldwright.checks.fold_oracles import fold_statements
-from foldwright.checks.inputs import CENTERS, PRICE_RULES, QUANTITY_RULES, RULE_ALPHAS, RULE_MODELS
+from foldwright.checks.inputs import CENTERS, EIGHT_FLAGS, FIVE_FLAGS, PRICE_RULES, QUANTITY_RULES, RULE_ALPHAS, RULE_MODELS
 
 APPLICANTS = """
 lines AS (
@@ -295,6 +295,28 @@ RULE_MISSES = [
 ]
 
 
+def bootstrap_votes(trees: int = 25) -> str:
+    """Each bootstrap's weights, its best split by the Gini impurity that is left, the votes of both sides, and their share."""
+    held = ", ".join(f"CAST({c} AS INTEGER) AS {n}" for n, c in EIGHT_FLAGS.items())
+    sides = " UNION ALL ".join(f"SELECT tree, {j} AS slot, {n} AS side, sum(w) AS n, sum(w * y) AS pos FROM draws GROUP BY tree, {n}" for j, n in enumerate(EIGHT_FLAGS))
+    side = "CASE slot " + " ".join(f"WHEN {j} THEN {n}" for j, n in enumerate(EIGHT_FLAGS)) + " END"
+    names = ", ".join(EIGHT_FLAGS)
+    doubles = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in EIGHT_FLAGS)
+    return f"""WITH {DERIVED},
+held AS (SELECT row_key, CAST(row_key % 2 = 0 AS INTEGER) AS y, {held} FROM labelled),
+numbers AS (SELECT *, CAST(concat('0x', substr(md5(concat_ws('|', '42', tree, row_key)), 1, 8)) AS BIGINT) AS u
+  FROM held CROSS JOIN (SELECT unnest(range({trees})) AS tree)),
+draws AS MATERIALIZED (SELECT * FROM (SELECT *, {poisson_case('u')} AS w FROM numbers) WHERE w > 0),
+sides AS MATERIALIZED ({sides}),
+best AS (SELECT tree, arg_max(slot, (score, -slot)) AS slot FROM (
+  SELECT tree, slot, sum((pos * pos + (n - pos) * (n - pos)) / n) AS score FROM sides GROUP BY tree, slot) GROUP BY tree),
+leaves AS (SELECT s.tree, s.slot, s.side, CASE WHEN s.pos > s.n - s.pos THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS vote
+  FROM sides s JOIN best b ON b.tree = s.tree AND b.slot = s.slot),
+cells AS (SELECT {names}, count(*) AS n FROM held GROUP BY {names}),
+shares AS (SELECT {names}, any_value(n) AS n, sum(vote) / {trees} AS p1 FROM cells JOIN leaves ON side = {side} GROUP BY {names})
+SELECT {doubles}, round(p1, 6) AS p1, CASE WHEN p1 >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, n FROM shares"""
+
+
 def statements() -> dict[str, str]:
     a, d = f"WITH {APPLICANTS}", f"WITH {DERIVED}"
     p, m = f"WITH {PREDICTIONS}", f"WITH {METRICS}"
@@ -455,6 +477,9 @@ UNION ALL SELECT CAST(3 + (SELECT count(*) FROM marital) + gender_idx AS INTEGER
         "bootstrap_sample": "WITH draws AS (SELECT o_orderkey, CAST(concat('0x', substr(md5(concat_ws('|', '42', '3', o_orderkey)), 1, 8)) AS BIGINT) AS u FROM orders), "
         f"copies AS (SELECT o_orderkey, {poisson_case('u')} AS w FROM draws) SELECT * FROM copies WHERE w > 0",
         "tree_fit": MAJORITY,
+        "tree_fit_five_flags": f"{d} SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {n}' for n, c in FIVE_FLAGS.items())}, "
+        f"CASE WHEN avg(label) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n FROM labelled GROUP BY {', '.join(str(i + 1) for i in range(5))}",
+        "bagging_fit_bootstraps": bootstrap_votes(),
         "bagging_fit": MAJORITY,
         "bagging_fit_separate": MAJORITY,
         "gbt_fit": MAJORITY,

@@ -15,12 +15,15 @@ from foldwright.checks.fold_queries import QUERIES as FOLD_QUERIES
 from foldwright.checks.inputs import (
     APPROVED_STATUS,
     CENTERS,
+    EIGHT_FLAGS,
+    FIVE_FLAGS,
     LINE_KEY,
     QUANTITY_RULES,
     RULE_ALPHAS,
     RULE_MODELS,
     features,
     flagged,
+    flags,
     labelled,
     prepared,
     price_votes,
@@ -645,6 +648,24 @@ def tree_fit(spark, d):
     return _by_flag(learners.tree_fit(rows, max_depth=1).transform(rows))
 
 
+@query
+def tree_fit_five_flags(spark, d):
+    """A tree of full depth over five 0/1 slots: every cell of the flags gets its majority."""
+    rows = flags(spark, d, FIVE_FLAGS, "LEARNED_LABEL")
+    scored = learners.tree_fit(rows, max_depth=5).transform(rows)
+    return scored.groupBy(*FIVE_FLAGS, "prediction").agg(F.count("*").alias("n"))
+
+
+@query
+def bagging_fit_bootstraps(spark, d):
+    """25 trees, each fitted on its own bootstrap: which of eight slots each splits, and how each side votes."""
+    rows = flags(spark, d, EIGHT_FLAGS, "row_key % 2 = 0")
+    trees = bagging.bagging_fit(rows, 25, max_depth=1, strategy="separate", key="row_key")
+    voted, votes = bagging.cast_votes(rows, trees)
+    voted = bagging.majority_vote(voted, votes)
+    return rounded(voted.groupBy(*EIGHT_FLAGS, "p1", "prediction").agg(F.count("*").alias("n")))
+
+
 @query
 def bagging_fit(spark, d):
     rows = flagged(spark, d)

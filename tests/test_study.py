@@ -26,7 +26,7 @@ def test_every_table_of_the_study(study, tmp_path, spark):
     assert all(df.count() > 0 for name, df in back.items() if name != "fold_outliers")
     assert back["input_preview"].count() == back["feature_preview"].count() == 5
     counts = {r["stage"]: r["n"] for r in back["stage_counts"].collect()}
-    assert list(counts) == ["loaded", "complete", "valid_age", "prepared"] and counts["prepared"] == counts["valid_age"]
+    assert set(counts) == {"loaded", "complete", "valid_age", "prepared"} and counts["prepared"] == counts["valid_age"]
     rows = back["stage_counts"].filter("stage = 'valid_age'").first()["n"]
     assert back["confusion"].agg(F.sum("n")).first()[0] == 3 * rows
     assert back["comparison"].count() == 3 and back["best_model"].count() == 1
