@@ -17,9 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwright.staging import stage
+
 BUCKET_BITS = 14
 ORDERS = (2, 3)
 TRAINING_ROWS = 20_000
+#: Of each language, as far as it has them.
+LEAST_ROWS = 500
 TRAINING_PARTS = 32
 UNDETERMINED = "und"
 
@@ -128,17 +132,29 @@ def _summed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": [key[0]], "n": [int(group["n"].sum())], "counts": [total.tobytes()]})
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAINING_ROWS) -> LanguageModel:
-    """Fit on about ``rows`` rows (a documented bound), chosen by a hash of their content.
+def drawn_rows(usable: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``(key, lang, text)`` in all, and of every language ``LEAST_ROWS`` or what it has.
+
+    Each row is drawn by a hash of its key, text and language, so copies under other keys are drawn one
+    by one, and each language by a rate of its own. There is one rate for each language, as in the model.
+    """
+    sizes = stage(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
+    most = F.col("n") * rows / F.greatest(sizes.agg(F.sum("n")).scalar(), F.lit(1))
+    rates = sizes.select("lang", (F.greatest(most, F.lit(LEAST_ROWS)) / F.col("n")).alias("rate"))
+    draw = F.pmod(F.xxhash64("key", "text", "lang"), F.lit(1 << 30)) / (1 << 30)
+    return usable.join(F.broadcast(rates), "lang").filter(draw < F.col("rate")).select("lang", "text")
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAINING_ROWS, key: str | None = None) -> LanguageModel:
+    """Fit on about ``rows`` rows (a documented bound), chosen by a hash of the row, and on some of every language.
 
-    Rows without a text or language are left out. The sample is dealt to a fixed number of parts, so
-    what is summed and sent to the driver is (parts or 1) x languages x buckets, whatever the corpus.
+    Rows without a text or language are left out. ``key`` names a row; without one, equal texts are drawn
+    together. The sample is dealt to a fixed number of parts, so what is summed and sent to the driver is
+    (parts or 1) x languages x buckets, whatever the corpus.
     """
-    usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    most = usable.count()
-    if most > rows:
-        drawn = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
-        usable = usable.filter(drawn < int((1 << 30) * rows / most))
+    name = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    usable = labelled.select(name.alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    usable = drawn_rows(usable.filter("lang is not null and text is not null"), rows)
     schema = "lang string, n bigint, counts binary"
     parts = usable.repartition(TRAINING_PARTS).mapInPandas(_part_counts, schema)
     summed = sorted(parts.groupBy("lang").applyInPandas(_summed, schema).collect())
@@ -168,8 +184,6 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The documents with ``lang_pred`` and ``score``, which replace input columns of the same names."""
-    return (
-        docs.withColumn("_found", predict_language(docs, model, text))
-        .withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")})
-        .drop("_found")
-    )
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), predict_language(docs, model, text).alias("found"))
+    return found.select("row.*", "found.*")

@@ -250,7 +250,9 @@ def test_language_of_odd_rows(spark, documents):
     assert [got[i] for i in (100, 102, 103)] == [("und", 0.0)] * 3
     assert all(got[i][0] == rows[i][2] for i in range(40)) and got[101][0] == "en" and got[105][0] in ("de", "en")
     bounded = language_id.train(docs, rows=10)
-    assert set(bounded.languages) <= {"de", "en"}
+    assert bounded.languages == ["de", "en"]
+    clash = documents(rows[:3]).selectExpr("*", "1 as _found", "2 as found", "3 as row")
+    assert language_id.identify_languages(clash, model).columns == [*clash.columns, "lang_pred", "score"]
     empty = language_id.train(documents([]))
     assert {r["lang_pred"] for r in language_id.identify_languages(docs, empty).collect()} == {"und"}
     assert language_id.identify_languages(documents([]), model).count() == 0
@@ -321,7 +323,7 @@ def test_short_insults_with_inserted_letters(spark, documents):
                 for place in reversed(places):
                     probe = probe[:place] + "x" + probe[place:]
                 values = marks.similar({probe})[probe]
-                assert values is not None and values[i] > 0, probe
+                assert values is not None and marks.dense(values)[i] > 0, probe
 
     rnd = random.Random(8)
     plain = ["house", "garden", "river", "window", "letter", "market", "summer", "teacher", "village", "morning"]
@@ -390,7 +392,46 @@ def test_kernel_equals_its_definition():
     for probe in ["blockhead", "blokhead", "blxockhead", "numbskulls", "garden", "blockblock"]:
         wanted = [k**toxicity.POWER if (k := kernel(probe, w)) >= toxicity.LEAST else 0 for w in words]
         values = marks.similar({probe})[probe]
-        assert ([0, 0] if values is None else values.tolist()) == pytest.approx(wanted, abs=1e-4)
+        assert ([0, 0] if values is None else marks.dense(values).tolist()) == pytest.approx(wanted, abs=1e-4)
+        # A word that is known to resemble none is passed over, others are not.
+        plain = np.sort(toxicity._hashes(toxicity._codes(["garden"])))
+        again = toxicity.Landmarks(words, 2, plain).similar({probe})[probe]
+        assert (again is None) == (values is None)
+
+
+def test_values_of_sentences_are_the_largest_of_their_words():
+    """Sentences measured together against each word measured alone."""
+    marks = toxicity.Landmarks(["blockhead", "numbskull", "garden"], 2)
+    texts = [
+        "A blockhead, a blokhead! The garden. num bskull in the gar den",
+        "b l o c k h e a d and n.u.m.b.s.k.u.l.l\n(block-head) block - head",
+        "",
+        "nothing here",
+        "blockheadblockheadblockheadblockheadblockheadblockhead x" * 3,
+    ]
+
+    def alone(sentence):
+        pieces = [p for t in sentence.split() for p in toxicity._LETTERS.findall(t)]
+        words = toxicity.sentence_words(sentence) | marks.joined(pieces)
+        found = [marks.dense(v) for w in words if (v := marks.similar({w})[w])]
+        return np.max(found, axis=0) if found else None
+
+    wanted = [[v for s in toxicity._SENTENCE.split(t.lower()) if (v := alone(s)) is not None] for t in texts]
+    for text, rows, expected in zip(texts, toxicity.measured(marks, texts), wanted, strict=True):
+        assert rows.tolist() == pytest.approx(np.array(expected).reshape(-1, 3).tolist()), text
+
+
+def test_every_language_is_drawn(spark):
+    """A rare language and one of copies beside a large one, under a small bound."""
+    rows = [(i, f"the words of text {i} and more", "en") for i in range(3000)]
+    rows += [(i, "der gleiche Text und noch einer", "de") for i in range(3000, 5000)]
+    rows += [(i, f"la phrase du texte {i}", "fr") for i in range(5000, 5003)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    model = language_id.train(docs, rows=300, key="doc_id")
+    assert model.languages == ["de", "en", "fr"]
+    usable = docs.selectExpr("cast(doc_id as string) as key", "lang", "text")
+    drawn = {r["lang"]: r["count"] for r in language_id.drawn_rows(usable, 300).groupBy("lang").count().collect()}
+    assert drawn["fr"] == 3 and 350 < drawn["en"] < 650 and 350 < drawn["de"] < 650
 
 
 # -- tokens -------------------------------------------------------------------------------------
