@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwright.llm import mixing, toxicity, trie_join
@@ -28,48 +28,60 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _rows(docs: DataFrame, *more: Column) -> DataFrame:
+    """The documents, each as the one column ``row``, so that no name of theirs can meet those of a stage."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter or of no clear language. The model is learned from the labelled documents."""
     ship_code(spark)
-    found = docs.withColumn("_found", predict_language(docs, language_model(docs)))
-    sure = (F.col("_found.lang_pred") != UNDETERMINED) & (F.col("_found.score") >= SURE)
-    return found.filter(sure).select(*docs.columns)
+    found = _rows(docs, predict_language(docs, language_model(docs)).alias("found"))
+    sure = (F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= SURE)
+    return found.filter(sure).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts whose probability of toxicity reaches the threshold of the operator."""
     labels = table(spark, sf_dir, "labels").filter(id_crc("doc_id") % 3 != 1)
     model = toxicity.train(docs, labels)
-    scored = docs.withColumn("_score", toxicity.toxicity_score(docs, model))
-    return scored.filter(F.col("_score") < toxicity.PREDICT_FROM).select(*docs.columns)
+    scored = _rows(docs, toxicity.toxicity_score(docs, model).alias("score"))
+    return scored.filter(F.col("score") < toxicity.PREDICT_FROM).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of near copies: that of the smallest id.
 
-    Documents without words or without an id are in no component and stay. A document is named by its
-    id and the hash of its text, so rows that share an id but not the text are decided one by one; of
-    rows that repeat both, one stays.
+    Documents without words are in no component and stay. A document is named by its id and the hash of
+    its text, so rows that share an id but not the text are decided one by one; of rows that repeat both,
+    one stays. Rows without an id are named by their text alone, beyond all ids (which are below 2**62),
+    and so go before rows with one do.
     """
     ship_code(spark)
-    found = stage(trie_join.similar_components(docs, NEAR_WORDS, NEAR_PERCENT).filter("group_id is not null"), "near-copies")
-    name = F.struct("doc_id", "text_hash")
-    kept = found.groupBy("group_id").agg(F.min(name).alias("kept"))
-    gone = found.join(kept, "group_id").filter(name != F.col("kept")).select("doc_id", "text_hash").distinct()
-    again = found.groupBy("doc_id", "text_hash").count().filter("count > 1").drop("count")
-    named = docs.withColumn("_hash", F.xxhash64("text"))
+    unnamed = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    name = F.coalesce(F.col("doc_id").cast("bigint"), unnamed).alias("key")
+    texts = docs.select(name, "text")
+    found = trie_join.similar_components(texts, NEAR_WORDS, NEAR_PERCENT, key="key").filter("group_id is not null")
+    found = stage(found.select("key", "text_hash", "component_id", "group_id"), "near-copies")
+    # Texts under one id may be in several components, and several texts under the smallest id in one.
+    least = F.col("key") == F.col("component_id")
+    heads = found.filter(least).groupBy("group_id").agg(F.min("text_hash").alias("kept"), F.max("text_hash").alias("last"))
+    several = trie_join.small_side(stage(heads.filter("kept <> last").select("group_id", "kept"), "shared-ids"), 32)
+    more = found.filter(least).join(several, "group_id").filter("text_hash <> kept").select("key", "text_hash")
+    gone = found.filter(~least).select("key", "text_hash").unionByName(more).distinct()
+    again = found.groupBy("key", "text_hash").count().filter("count > 1").select("key", "text_hash")
 
     def of(rows: DataFrame) -> DataFrame:
-        # The hash is kept apart from a column of the documents that may have its name.
-        return trie_join.small_side(stage(rows.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")), "named"), 48)
+        return trie_join.small_side(stage(rows, "named"), 48)
 
-    same = (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_text"))
-    left = named.join(of(gone), same, "left_anti")
+    named = _rows(docs, name, F.xxhash64("text").alias("text_hash"))
+    both = ["key", "text_hash"]
+    left = named.join(of(gone), both, "left_anti")
     repeated = of(again)
-    single = left.join(repeated, same, "left_anti")
     if repeated.isEmpty():
-        return single.select(*docs.columns)
-    return single.union(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_hash"])).select(*docs.columns)
+        return left.select("row.*")
+    single = left.join(repeated, both, "left_anti")
+    return single.union(left.join(repeated, both, "left_semi").dropDuplicates(both).select(single.columns)).select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
