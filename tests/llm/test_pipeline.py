@@ -71,3 +71,35 @@ def test_one_of_repeated_rows_stays(spark, sf_dir, documents):
     docs = documents([(3, "one two three four five six")] * 4 + [(9, "one two three four five six"), (7, "other words stand here alone today")])
     kept = pipeline.drop_near_copies(spark, docs, sf_dir)
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 7]
+
+
+def test_copies_without_an_id_go(spark, sf_dir, documents):
+    text, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = documents([(None, text)] * 3 + [(None, other), (None, None), (None, ""), (3, text), (4, other + " x" * 40)])
+    kept = pipeline.drop_near_copies(spark, docs, sf_dir).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(
+        [(3, text), (None, other), (None, None), (None, ""), (4, other + " x" * 40)], key=repr
+    )
+    alone = pipeline.drop_near_copies(spark, documents([(None, text)] * 3), sf_dir).collect()
+    assert [(r["doc_id"], r["text"]) for r in alone] == [(None, text)]
+
+
+def test_texts_that_share_an_id(spark, sf_dir, documents):
+    """Two components with the same smallest id both keep a row; a component with two texts under it keeps one."""
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    b = " ".join(f"w{i}" for i in range(30))
+    docs = documents([(3, a), (3, b), (5, a), (6, b), (3, b + " w30")])
+    kept = pipeline.drop_near_copies(spark, docs, sf_dir).collect()
+    assert [r["doc_id"] for r in kept] == [3, 3]
+    assert sorted(r["text"].split()[0] for r in kept) == ["one", "w0"]
+
+
+def test_names_of_the_input_stay(spark, sf_dir, documents):
+    """Columns named like those of a stage come back as they were."""
+    names = ("_found", "_score", "_hash", "_id", "_text", "row", "found", "score", "key", "text_hash", "group_id", "component_id")
+    docs = documents([(i, f"the text number {i} is one of a few in here") for i in range(6)], extra=names)
+    for _, step in pipeline.STAGES[:-1]:
+        out = step(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        before = {r["doc_id"]: tuple(r) for r in docs.collect()}
+        assert all(tuple(r) == before[r["doc_id"]] for r in out.collect())
