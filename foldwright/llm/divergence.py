@@ -5,8 +5,8 @@
    Tasks add up what they read, the shuffle merges by (language, source, term), so neither a frequent
    term nor a large source meets in one task before it is summed.
 2. The vocabulary of a language holds the terms that are non-zero in at least ``min_df`` of its
-   vectors; its size has no bound below the largest integer. It stays a distributed table, since it
-   grows with the corpus.
+   vectors, as a count vectorizer's does whose size is the largest integer: no term is cut. It stays a
+   distributed table, since it grows with the corpus, where the library's vectorizer keeps it on the driver.
 3. A term has the smoothed share p in a group, in billionths, floored. The distance of two groups is the
    sum of f(p, q) = floor((p - q)^2 / q) over the vocabulary. A term that a group lacks has the same
    share as every other one it lacks, so the sum splits into what each group's own counts give against
@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 from foldwright.llm.trie_join import small_side
 from foldwright.staging import stage
 
-#: As many terms as an integer can number.
-VOCABULARY_LIMIT = 2**31 - 1
 SCALE = 1_000_000_000
 #: Terms that a task sums before it hands them on.
-BUFFER_TERMS = 300_000
+BUFFER_TERMS = 1_000_000
 #: Entries (term, group) of a block, about.
-BLOCK_ENTRIES = 200_000
+BLOCK_ENTRIES = 40_000
+#: A task sees fewer words than this number of bits can count.
+_BITS = 48
+_ONE = 1 << _BITS
 #: Pairs of entries that are looked at together in a block.
 _PAIRS = 1 << 20
 #: Parts of a group that are ranked before the whole group.
@@ -53,36 +54,33 @@ def term_vector(text: bytes | None) -> Counter[bytes]:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[tuple, Counter[bytes]] = {}
-    non_zero: dict[tuple, Counter[bytes]] = {}
+    # The sum of a term, and above its bits the number of vectors that have it.
+    sums: dict[tuple, dict[bytes, int]] = {}
 
     def flushed() -> Iterator[pa.RecordBatch]:
         for group, counts in sums.items():
-            # An empty term stands for the group itself, which may have no other.
-            terms = [b"", *counts]
-            found = non_zero[group]
+            if not counts:
+                continue
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([group[0]] * len(terms), pa.string()),
-                    pa.array([group[1]] * len(terms), pa.string()),
-                    pa.array(terms, pa.binary()),
-                    pa.array([counts[t] for t in terms], pa.int64()),
-                    pa.array([found[t] for t in terms], pa.int64()),
+                    pa.repeat(pa.scalar(group[0], pa.string()), len(counts)),
+                    pa.repeat(pa.scalar(group[1], pa.string()), len(counts)),
+                    pa.array(counts.keys(), pa.binary()),
+                    pa.array([v & (_ONE - 1) for v in counts.values()], pa.int64()),
+                    pa.array([v >> _BITS for v in counts.values()], pa.int64()),
                 ],
                 names=["lang", "source", "term", "n", "docs"],
             )
         sums.clear()
-        non_zero.clear()
 
     held = 0
     for batch in batches:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang, source, text in zip(langs, sources, batch.column(2), strict=True):
-            vector = term_vector(text.as_py())
-            total = sums.setdefault((lang, source), Counter())
-            before = len(total)
-            total.update(vector)
-            non_zero.setdefault((lang, source), Counter()).update(vector.keys())
+            total = sums.setdefault((lang, source), {})
+            before, known = len(total), total.get
+            for term, n in term_vector(text.as_py()).items():
+                total[term] = known(term, 0) + n + _ONE
             held += len(total) - before
             if held >= BUFFER_TERMS:
                 yield from flushed()
@@ -90,27 +88,28 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flushed()
 
 
+def _group(lang: str, source: str) -> list[Column]:
+    """Null languages and sources count as empty ones."""
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"))]
+
+
 def group_sums(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``(lang, source, term, n, docs)``: sum and number of non-zero entries of the group's vectors.
+    """``(lang, source, term, n, docs)``: sum and number of non-zero entries of the group's vectors; terms are UTF-8.
 
-    Null texts, languages and sources count as empty ones. Each occurring group has a row with the
-    empty term.
+    Null texts, languages and sources count as empty ones.
     """
-    rows = docs.select(
-        F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        F.col(text).cast("binary").alias("text"),
-    )
+    rows = docs.select(*_group(lang, source), F.col(text).cast("binary").alias("text"))
     parts = rows.mapInArrow(_summed, "lang string, source string, term binary, n bigint, docs bigint")
-    summed = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return summed.withColumn("term", F.col("term").cast("string"))
+    # The tasks have added up already. Dealt by term, the sums serve the vocabulary without another shuffle.
+    dealt = parts.repartition("lang", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def vocabulary(sums: DataFrame, min_df: int) -> DataFrame:
     """``(lang, term, n, groups)``: the kept terms with their counts, in all and by source."""
-    terms = sums.filter("term <> ''").groupBy("lang", "term")
-    kept = terms.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("groups"))
-    return kept.filter(F.col("docs") >= min_df).drop("docs")
+    groups = F.collect_list(F.struct("source", "n")).alias("groups")
+    kept = sums.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), groups)
+    return kept.filter(F.col("docs") >= min_df).select("lang", F.col("term").cast("string").alias("term"), "n", "groups")
 
 
 def _share(n: Column, total: Column, size: Column) -> Column:
@@ -163,18 +162,18 @@ def pair_corrections(term: np.ndarray, group: np.ndarray, share: np.ndarray, lac
 
 
 def _block(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("term", kind="stable")
     term = pd.factorize(group["term"])[0].astype(np.int64)
+    order = np.argsort(term, kind="stable")
     code, names = pd.factorize(group["source"])
     share, lacking = group["p"].to_numpy(np.int64), group["lacking"].to_numpy(np.int64)
-    found = pair_corrections(term, code.astype(np.int64), share, lacking)
+    found = pair_corrections(term[order], code.astype(np.int64)[order], share[order], lacking[order])
     pairs = list(found)
     return pd.DataFrame(
         {
-            "lang": group["lang"].iloc[0],
-            "source": [names[a] for a, _ in pairs],
-            "item": [names[b] for _, b in pairs],
-            "value": pd.Series(list(found.values()), dtype=np.int64),
+            "lang": np.array([group["lang"].iloc[0]] * len(pairs), dtype=object),
+            "source": np.array([names[a] for a, _ in pairs], dtype=object),
+            "item": np.array([names[b] for _, b in pairs], dtype=object),
+            "value": np.array(list(found.values()), dtype=np.int64),
         }
     )
 
@@ -228,13 +227,12 @@ def source_divergence(
     """
     if min_df < 1 or most_terms < 0:
         raise ValueError("min_df must be positive, most_terms not negative")
-    sums = stage(group_sums(docs, text, lang, source), "group-sums")
-    terms = stage(vocabulary(sums, min_df), "vocabulary")
+    terms = stage(vocabulary(group_sums(docs, text, lang, source), min_df), "vocabulary")
     flat = terms.select("lang", "term", F.col("n").alias("lang_n"), F.inline("groups"))
 
     sizes = terms.groupBy("lang").agg(F.count("*").alias("size"), F.sum("n").alias("lang_total"))
     totals = flat.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
-    occurring = sums.filter("term = ''").select("lang", "source")
+    occurring = docs.select(*_group(lang, source)).distinct()
     groups = occurring.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
     groups = groups.na.fill(0, ["total", "terms", "size", "lang_total"])
     # Without a kept term no share is used; 1 stands for it.
