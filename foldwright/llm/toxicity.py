@@ -44,6 +44,8 @@ LEAST, POWER, SQUARINGS = 0.3, 2, 4
 INSERTED = (1, 2, 2)
 #: Of a copy in the logistic curve. Copies are no texts, so they weigh less than the sampled ones do.
 COPY_WEIGHT = 0.7
+#: A copy is lost if it is no further from an empty text than this share of the toxic texts' median.
+LOST = 0.1
 #: Of a row's error in the machine, and of all rows' together at least.
 COST, COST_OF_ALL = 0.05, 25.0
 TRAINING_ROWS = 20_000
@@ -553,8 +555,9 @@ def with_inserted(landmarks: Landmarks, z: np.ndarray, y: np.ndarray) -> tuple[n
                 word = "".join(letters)
                 if values := landmarks.similar({word})[word]:
                     copy = np.maximum(copy, landmarks.dense(values))
-            rows.append(copy[None])
-            labels.append(y[i : i + 1])
+            if copy.any():  # else the letters left nothing of the word, and the copy is like any other text
+                rows.append(copy[None])
+                labels.append(y[i : i + 1])
     landmarks.forget()
     return np.vstack(rows), np.concatenate(labels)
 
@@ -632,7 +635,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, key: st
     mapped = both_kernels(z, landmarks.telling) @ (nystroem := _nystroem(landmarks))
     weights, bias = fit_machine(mapped, y)
     margins = np.maximum(mapped @ weights + bias, bias)
-    slope, offset = fit_curve(margins, y, np.where(np.arange(len(y)) < sampled, 1.0, COPY_WEIGHT))
+    # A copy hardly more suspicious than an empty text says nothing of such texts.
+    real, found = np.arange(len(y)) < sampled, margins > bias
+    lost = bias + LOST * (np.median(margins[real & found & (y > 0)]) - bias) if (real & found & (y > 0)).any() else bias
+    share = np.where(real, 1.0, np.where(margins > lost, COPY_WEIGHT, 0.0))
+    slope, offset = fit_curve(margins, y, share)
     return ToxicityModel(landmarks, nystroem, weights, bias, slope, offset)
 
 

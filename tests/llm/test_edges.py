@@ -252,7 +252,8 @@ def test_language_of_odd_rows(spark, documents):
     bounded = language_id.train(docs, rows=10)
     assert bounded.languages == ["de", "en"]
     clash = documents(rows[:3]).selectExpr("*", "1 as _found", "2 as found", "3 as row")
-    assert language_id.identify_languages(clash, model).columns == [*clash.columns, "lang_pred", "score"]
+    others = [c for c in clash.columns if c != "score"]
+    assert language_id.identify_languages(clash, model).columns == [*others, "lang_pred", "score"]
     empty = language_id.train(documents([]))
     assert {r["lang_pred"] for r in language_id.identify_languages(docs, empty).collect()} == {"und"}
     assert language_id.identify_languages(documents([]), model).count() == 0
@@ -418,7 +419,7 @@ def test_values_of_sentences_are_the_largest_of_their_words():
 
     wanted = [[v for s in toxicity._SENTENCE.split(t.lower()) if (v := alone(s)) is not None] for t in texts]
     for text, rows, expected in zip(texts, toxicity.measured(marks, texts), wanted, strict=True):
-        assert rows.tolist() == pytest.approx(np.array(expected).reshape(-1, 3).tolist()), text
+        assert np.allclose(rows, np.array(expected).reshape(-1, 3)) and len(rows) == len(expected), text
 
 
 def test_every_language_is_drawn(spark):
