@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -12,12 +13,29 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import HasTrainingSummary
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwright.staging import shared_dir
 
 
+def without_summary(model: Model) -> Model:
+    """Drop the training summaries of a fitted model, and of the models that it is made of.
+
+    A summary of two classes holds the session, which then goes out with every task that scores rows. From the
+    first ``observe`` on a session cannot be serialized, so that no such model could score any more.
+    """
+    if isinstance(model, HasTrainingSummary) and model.hasSummary:
+        context = SparkContext._active_spark_context
+        model._java_obj.setSummary(context._jvm.scala.Option.empty())
+    parts = [*getattr(model, "stages", []), *getattr(model, "models", []), getattr(model, "bestModel", None)]
+    for part in parts:
+        if isinstance(part, Model):
+            without_summary(part)
+    return model
+
+
 def tree_fit(
     train: DataFrame,
     label: str = "label",
@@ -41,18 +59,18 @@ def logreg(
 
 
 def logreg_fit(train: DataFrame, **settings) -> LogisticRegressionModel:
-    """Elastic-net logistic regression."""
-    return logreg(**settings).fit(train)
+    """Elastic-net logistic regression, without its training summary."""
+    return without_summary(logreg(**settings).fit(train))
 
 
 def weak_learner_fit(
     train: DataFrame, label: str = "label", features: str = "features", weight: str = "w", max_iter: int = 50
 ) -> LogisticRegressionModel:
-    """Unregularized logistic regression on weighted rows."""
+    """Unregularized logistic regression on weighted rows, without its training summary."""
     learner = LogisticRegression(
         labelCol=label, featuresCol=features, weightCol=weight, maxIter=max_iter, regParam=0.0
     )
-    return learner.fit(train)
+    return without_summary(learner.fit(train))
 
 
 def gbt_fit(
@@ -81,7 +99,7 @@ def estimator_predictor(estimator: Estimator, label: str = "label"):
     """A ``fit_predict`` for any MLlib classifier; rows are ranked by its raw score of class 1."""
 
     def fit_predict(train: DataFrame, test: DataFrame) -> DataFrame:
-        scored = estimator.fit(train).transform(test)
+        scored = without_summary(estimator.fit(train)).transform(test)
         raw = F.get(vector_to_array("rawPrediction"), F.lit(1))
         p1 = F.get(vector_to_array("probability"), F.lit(1)) if "probability" in scored.columns else raw
         return scored.withColumns({"label": F.col(label).cast("double"), "p1": p1, "score": raw})
