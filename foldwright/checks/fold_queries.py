@@ -101,7 +101,7 @@ def fold_adaboost_weights(spark, d):
         return (positive != (F.col("label") > 0.5)).cast("int")
 
     parts = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(K - 1)))).filter("fold <> part")
-    missed = parts.join(learners, "part").withColumn("missed", F.transform("learners", misses))
+    missed = parts.join(F.broadcast(learners), "part").withColumn("missed", F.transform("learners", misses))
     grown = F.transform(
         F.arrays_zip("learners", "missed"), lambda z: F.exp(z["learners"]["alpha"] * (F.lit(2.0) * z["missed"] - F.lit(1.0)))
     )

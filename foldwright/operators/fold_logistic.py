@@ -324,10 +324,14 @@ def fold_adaboost(
 
 
 def _model_table(df: DataFrame, models: Sequence[Sequence[tuple[Linear, float]]]) -> DataFrame:
-    """``(_fold, _learners)``: one row for each fold, with (intercept, coefficients, alpha) of its learners."""
+    """``(_fold, _learners)``: one row for each fold, with (intercept, coefficients, alpha) of its learners.
+
+    It is marked for broadcast: Spark takes rows from the driver for a table of any size, and would send out the
+    scored table instead wherever its files are small.
+    """
     rows = [(i, [(m.intercept, list(m.coefficients), float(a)) for m, a in learners]) for i, learners in enumerate(models)]
     schema = "_fold int, _learners array<struct<intercept: double, coefficients: array<double>, alpha: double>>"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
 def _raw(learner: Column, x: Column) -> Column:
