@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,12 @@ from foldwright.functions.keys import poisson_weight
 from foldwright.functions.scores import positive_share, threshold_predict, to_prob_vec
 from foldwright.operators.folds import in_parallel
 from foldwright.operators.learners import only_prediction, tree_fit
+from foldwright.staging import stage
 
 _BITS = 62
+#: MLlib takes the splits of this many rows from all of them, and of slots with at most so many values from each value.
+_SMALL_TABLE = 10_000
+_BINS = 32
 
 
 def bootstrap_sample(
@@ -24,6 +29,25 @@ def bootstrap_sample(
     return df.withColumn(out, poisson_weight(key, i, seed, fraction)).filter(F.col(out) > 0)
 
 
+def shared_bootstraps(
+    train: DataFrame, key: str | Sequence[str], num_models: int, seed: int, fraction: float, label: str, features: str
+) -> DataFrame | None:
+    """Staged ``(label, features, w_0, w_1, ...)``: each distinct row with its copies in every bootstrap, from one pass.
+
+    Trees see only sums of weights, so they grow alike on it. None where the distinct rows or a slot's values
+    are too many for MLlib to split between all values: there its splits follow from a draw of the rows.
+    """
+    if train.agg(F.approx_count_distinct(F.xxhash64(label, features)).alias("n")).first()["n"] > _SMALL_TABLE:
+        return None
+    copies = [F.sum(poisson_weight(key, i, seed, fraction).cast("double")).alias(f"w_{i}") for i in range(num_models)]
+    held = stage(train.groupBy(label, features).agg(*copies).coalesce(1), "bootstraps")
+    if held.count() > _SMALL_TABLE:
+        return None
+    values = held.filter(F.col(features).isNotNull()).select(F.posexplode(vector_to_array(features)).alias("slot", "value"))
+    most = values.groupBy("slot").agg(F.count_distinct("value").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    return held if most is not None and most <= _BINS else None
+
+
 def bagging_fit(
     train: DataFrame,
     num_models: int = 25,
@@ -39,7 +63,8 @@ def bagging_fit(
     """``num_models`` trees, each fitted on its own bootstrap over all features.
 
     ``forest`` grows them together, so a pass over the data serves one level of all
-    trees. ``separate`` fits them one by one on ``bootstrap_sample`` weights of ``key``.
+    trees. ``separate`` fits them one by one on ``bootstrap_sample`` weights of ``key``;
+    where the distinct rows are few, one pass over ``train`` serves all of them.
     """
     if strategy == "forest":
         forest = RandomForestClassifier(
@@ -57,7 +82,11 @@ def bagging_fit(
         if key is None:
             raise ValueError("separate fits need a key for their bootstraps")
 
+        held = shared_bootstraps(train, key, num_models, seed, sample_fraction, label, features)
+
         def fit(i: int) -> DecisionTreeClassificationModel:
+            if held is not None:
+                return tree_fit(held.filter(F.col(f"w_{i}") > 0), label, features, max_depth, seed + i, weight=f"w_{i}")
             rows = bootstrap_sample(train, key, i, seed, sample_fraction)
             return tree_fit(rows, label, features, max_depth, seed + i, weight="w")
 
