@@ -862,7 +862,7 @@ def cross_validate_fold_scope_by_flag(spark, d):
 @query
 def cross_validate_fold_scope(spark, d):
     """Preparation fitted on each training part only."""
-    rows = labelled(spark, d).withColumn("label", F.col("LEARNED_LABEL").cast("double"))
+    rows = labelled(spark, d).select("row_key", F.col("LEARNED_LABEL").cast("double").alias("label"), *NUMERIC, *CATEGORICAL)
     folded = folds.fold_assign(rows, 10, "row_key")
     scored = folds.cross_validate(
         folded,

@@ -1,0 +1,94 @@
+"""Logistic regressions on rows that each training part prepares by itself, in shared passes.
+
+Preparation and fit of a training part read all folds but one, so that ten folds read the table ten times
+for each of their steps. Here one scan fits the preparation of every part (``fold_prep``), and the passes of
+``fold_logistic`` serve all parts. These run over the plain slots: the fit standardizes them within each part,
+and a category that a part has not seen is a constant there, without a coefficient. A part's model is then
+written for the slots of its own preparation, and scores rows that this preparation made.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.ml.base import Estimator
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType, StructType
+
+from foldwright.operators.fold_logistic import GRAM_SLOTS, Linear, fold_logistic, logistic_predictions
+from foldwright.operators.fold_prep import FoldPrep, fold_prep
+from foldwright.operators.prep import PrepPipeline
+
+_KNOWN = {"labelCol", "featuresCol", "maxIter", "regParam", "elasticNetParam"}
+#: A fit of fewer iterations may be meant to end before its solution.
+_LEAST_ITERATIONS = 50
+
+
+def _one_solution(estimator: Estimator, label: str) -> bool:
+    """Whether the fit has one solution, whichever way it is found: a ridge part, and nothing set that passes do not know."""
+    if not isinstance(estimator, LogisticRegression) or not {p.name for p in estimator._paramMap} <= _KNOWN:
+        return False
+    ridge = estimator.getRegParam() * (1.0 - estimator.getElasticNetParam())
+    columns = (estimator.getFeaturesCol(), estimator.getLabelCol()) == ("features", label)
+    return columns and ridge > 0 and estimator.getMaxIter() >= _LEAST_ITERATIONS
+
+
+def _plain_columns(schema: StructType, prepare: PrepPipeline) -> bool:
+    kinds = {f.name: f.dataType for f in schema.fields}
+    numbers = all(isinstance(kinds.get(c), NumericType) for c in prepare.numeric)
+    return numbers and all(isinstance(kinds.get(c), StringType) for c in prepare.categorical)
+
+
+def _missing_as_null(table: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """The assembler leaves out rows with a NaN as well."""
+    doubles = [f.name for f in table.schema.fields if f.name in numeric and isinstance(f.dataType, DoubleType | FloatType)]
+    return table.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})
+
+
+def _own_slots(model: Linear, names: Sequence[tuple[str, str | None]], part: Row, state: FoldPrep) -> Linear:
+    """The model of plain slots ``names`` for the slots that its training part standardized."""
+    plain = dict(zip(names, model.coefficients, strict=True))
+    own = [plain[c, None] for c in state.numeric]
+    own += [plain[c, value] for c in state.categorical for value in part[f"values_{c}"]]
+    intercept = model.intercept + sum(b * mean for b, mean in zip(own, part["mean"], strict=True))
+    return Linear(intercept, tuple(b * std for b, std in zip(own, part["std"], strict=True)))
+
+
+def fold_scope_logistic(
+    table: DataFrame, estimator: Estimator, prepare: PrepPipeline, k: int, keep: Sequence[str] = (), label: str = "label"
+) -> DataFrame | None:
+    """``(fold, keep..., label, prediction, p1, score)`` as ``cross_validate`` gives it with a preparation by fold.
+
+    ``table`` is staged. None where the fits have to run one by one: fits without one solution, labels other than
+    0 and 1, more than ``GRAM_SLOTS`` slots.
+    """
+    if not _one_solution(estimator, label) or not _plain_columns(table.schema, prepare):
+        return None
+    fits = F.coalesce(F.col(label).cast("double").isin(0.0, 1.0), F.lit(False)) & F.col("fold").isNotNull()
+    if table.filter(~fits).limit(1).count():
+        return None
+    rows = _missing_as_null(table, prepare.numeric)
+    state = fold_prep(rows, k, prepare.numeric, prepare.categorical)
+    if (state.parts.agg(F.max(F.size("mean"))).first()[0] or 0) > GRAM_SLOTS:
+        return None
+    parts = {row["part"]: row for row in state.parts.collect()}
+    names = [(c, None) for c in state.numeric]
+    for c in state.categorical:
+        names += [(c, value) for value in sorted({v for row in parts.values() for v in row[f"values_{c}"]})]
+    if len(parts) < k or not 0 < len(names) <= GRAM_SLOTS:
+        return None
+    whole = rows.dropna(subset=list(state.numeric)) if state.numeric else rows
+    slots = [F.col(c).cast("double") if v is None else F.when(F.col(c) == v, 1.0).otherwise(0.0) for c, v in names]
+    models = fold_logistic(
+        whole.select("fold", label, array_to_vector(F.array(*slots)).alias("features")),
+        k,
+        estimator.getRegParam(),
+        estimator.getElasticNetParam(),
+        estimator.getMaxIter(),
+        label,
+    )
+    own = [_own_slots(model, names, parts[i], state) for i, model in enumerate(models)]
+    return logistic_predictions(state.transform(rows), own, keep, label)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from foldwright.functions.keys import hash_fold
 from foldwright.operators.fold_prep import FoldPrep
+from foldwright.operators.prep import PrepPipeline
 from foldwright.staging import stage
 
 FitPredict = Callable[[DataFrame, DataFrame], DataFrame]
@@ -78,6 +79,8 @@ def cross_validate(
     scored columns. ``prepare`` is fitted on all rows before the split, or with
     ``fit_scope='fold'`` on each training part, so that no test row takes part in it.
     A ``FoldPrep`` is fitted already, for every training part, and needs no fit here.
+    With ``fit_scope='fold'`` a penalized logistic regression behind ``prep_pipeline`` is
+    fitted for all training parts in shared passes, where ``fold_scope_logistic`` can.
     The table is staged unless the caller did so (``staged=True``).
 
     The result unites one lazy branch per fold, each a scan of its own fold; stage
@@ -89,6 +92,13 @@ def cross_validate(
         df = prepare.fit(df).transform(df)
         staged = False
     table = df if staged else stage_folds(df)
+    if fit_scope == "fold" and isinstance(prepare, PrepPipeline) and hasattr(fit_predict, "estimator"):
+        # It stands on the modules that use this one.
+        from foldwright.operators.fold_scope import fold_scope_logistic
+
+        shared = fold_scope_logistic(table, fit_predict.estimator, prepare, k, keep, fit_predict.label)
+        if shared is not None:
+            return shared
 
     def run(i: int) -> DataFrame:
         train, test = fold_split(table, i)

@@ -96,7 +96,10 @@ def only_prediction(model: Model, out: str) -> Model:
 
 
 def estimator_predictor(estimator: Estimator, label: str = "label"):
-    """A ``fit_predict`` for any MLlib classifier; rows are ranked by its raw score of class 1."""
+    """A ``fit_predict`` for any MLlib classifier; rows are ranked by its raw score of class 1.
+
+    It names its ``estimator`` and ``label``, so that ``cross_validate`` can fit all training parts in shared passes.
+    """
 
     def fit_predict(train: DataFrame, test: DataFrame) -> DataFrame:
         scored = without_summary(estimator.fit(train)).transform(test)
@@ -104,4 +107,5 @@ def estimator_predictor(estimator: Estimator, label: str = "label"):
         p1 = F.get(vector_to_array("probability"), F.lit(1)) if "probability" in scored.columns else raw
         return scored.withColumns({"label": F.col(label).cast("double"), "p1": p1, "score": raw})
 
+    fit_predict.estimator, fit_predict.label = estimator, label
     return fit_predict

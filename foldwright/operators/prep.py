@@ -65,7 +65,15 @@ def standardize(df: DataFrame, name: str, out: str) -> DataFrame:
     return _scaler(name, out).fit(df).transform(df)
 
 
-def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
+class PrepPipeline(Pipeline):
+    """``prep_pipeline`` with the names of its columns, from which ``fold_prep`` can fit all training parts at once."""
+
+    def __init__(self, stages: Sequence, numeric: Sequence[str], categorical: Sequence[str]) -> None:
+        super().__init__(stages=list(stages))
+        self.numeric, self.categorical = tuple(numeric), tuple(categorical)
+
+
+def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> PrepPipeline:
     """Index, encode, assemble (``features_unscaled``) and standardize (``features``).
 
     Each distinct category becomes a slot with a name, so the values reach the driver
@@ -74,7 +82,7 @@ def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> Pipelin
     inputs = [*numeric, *[f"{c}_VEC" for c in categorical]]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features_unscaled", handleInvalid="skip")
     categories = [_indexer(categorical), _encoder(categorical)] if categorical else []
-    return Pipeline(stages=[*categories, assembler, _scaler("features_unscaled", "features")])
+    return PrepPipeline([*categories, assembler, _scaler("features_unscaled", "features")], numeric, categorical)
 
 
 def fit_prep(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
