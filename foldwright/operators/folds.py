@@ -79,8 +79,9 @@ def cross_validate(
     scored columns. ``prepare`` is fitted on all rows before the split, or with
     ``fit_scope='fold'`` on each training part, so that no test row takes part in it.
     A ``FoldPrep`` is fitted already, for every training part, and needs no fit here.
-    With ``fit_scope='fold'`` a penalized logistic regression behind ``prep_pipeline`` is
-    fitted for all training parts in shared passes, where ``fold_scope_logistic`` can.
+    With ``fit_scope='fold'`` and a fit that standardizes its training part by itself, the
+    slots of ``prep_pipeline`` are made once and staged. A category that a training part
+    lacks is a constant 0 there and has no coefficient, so no test row takes part either.
     The table is staged unless the caller did so (``staged=True``).
 
     The result unites one lazy branch per fold, each a scan of its own fold; stage
@@ -92,13 +93,10 @@ def cross_validate(
         df = prepare.fit(df).transform(df)
         staged = False
     table = df if staged else stage_folds(df)
-    if fit_scope == "fold" and isinstance(prepare, PrepPipeline) and hasattr(fit_predict, "estimator"):
-        # It stands on the modules that use this one.
-        from foldwright.operators.fold_scope import fold_scope_logistic
-
-        shared = fold_scope_logistic(table, fit_predict.estimator, prepare, k, keep, fit_predict.label)
-        if shared is not None:
-            return shared
+    if fit_scope == "fold" and isinstance(prepare, PrepPipeline) and getattr(fit_predict, "standardizes", False):
+        slots = prepare.unscaled().fit(table).transform(table).withColumn("features", F.col("features_unscaled"))
+        table = stage_folds(slots.select(*dict.fromkeys([*keep, fit_predict.label, "fold", "features"])))
+        prepare = None
 
     def run(i: int) -> DataFrame:
         train, test = fold_split(table, i)

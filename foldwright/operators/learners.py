@@ -95,10 +95,23 @@ def only_prediction(model: Model, out: str) -> Model:
     return model.setPredictionCol(out).setRawPredictionCol("").setProbabilityCol("")
 
 
+def standardizes(estimator: Estimator) -> bool:
+    """Whether a fit on plain slots is the one on slots that the same rows have standardized.
+
+    MLlib's logistic regression centers and scales its training rows itself, and a slot that is constant there
+    gets no coefficient. Weights would count in its scales, and bounds would hold for other slots.
+    """
+    if not isinstance(estimator, LogisticRegression) or not (estimator.getStandardization() and estimator.getFitIntercept()):
+        return False
+    given = {p.name for p in estimator.params if estimator.isSet(p)}
+    bound = any(name.startswith(("lowerBounds", "upperBounds")) for name in given)
+    return estimator.getFeaturesCol() == "features" and "weightCol" not in given and not bound
+
+
 def estimator_predictor(estimator: Estimator, label: str = "label"):
     """A ``fit_predict`` for any MLlib classifier; rows are ranked by its raw score of class 1.
 
-    It names its ``estimator`` and ``label``, so that ``cross_validate`` can fit all training parts in shared passes.
+    ``standardizes`` and ``label`` tell ``cross_validate`` which columns of a preparation it needs.
     """
 
     def fit_predict(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -107,5 +120,5 @@ def estimator_predictor(estimator: Estimator, label: str = "label"):
         p1 = F.get(vector_to_array("probability"), F.lit(1)) if "probability" in scored.columns else raw
         return scored.withColumns({"label": F.col(label).cast("double"), "p1": p1, "score": raw})
 
-    fit_predict.estimator, fit_predict.label = estimator, label
+    fit_predict.standardizes, fit_predict.label = standardizes(estimator), label
     return fit_predict

@@ -66,11 +66,11 @@ def standardize(df: DataFrame, name: str, out: str) -> DataFrame:
 
 
 class PrepPipeline(Pipeline):
-    """``prep_pipeline`` with the names of its columns, from which ``fold_prep`` can fit all training parts at once."""
+    """The stages of ``prep_pipeline``."""
 
-    def __init__(self, stages: Sequence, numeric: Sequence[str], categorical: Sequence[str]) -> None:
-        super().__init__(stages=list(stages))
-        self.numeric, self.categorical = tuple(numeric), tuple(categorical)
+    def unscaled(self) -> Pipeline:
+        """The stages before the last, which standardizes."""
+        return Pipeline(stages=self.getStages()[:-1])
 
 
 def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> PrepPipeline:
@@ -82,7 +82,7 @@ def prep_pipeline(numeric: Sequence[str], categorical: Sequence[str]) -> PrepPip
     inputs = [*numeric, *[f"{c}_VEC" for c in categorical]]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features_unscaled", handleInvalid="skip")
     categories = [_indexer(categorical), _encoder(categorical)] if categorical else []
-    return PrepPipeline([*categories, assembler, _scaler("features_unscaled", "features")], numeric, categorical)
+    return PrepPipeline(stages=[*categories, assembler, _scaler("features_unscaled", "features")])
 
 
 def fit_prep(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:

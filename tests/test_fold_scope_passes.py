@@ -1,31 +1,33 @@
-"""Preparation and logistic fits of all training parts share their passes, with the rows of fits one by one."""
+"""Slots are made once for logistic fits by training part, with the rows of a preparation by training part."""
 
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.feature import StandardScaler, StringIndexer
 from pyspark.sql import functions as F
 
 from foldwright.operators import folds, learners, prep
-from foldwright.operators.fold_scope import fold_scope_logistic
 from foldwright.staging import stage
 
+K = 2
+
 
 def noise(i):
     return F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0
 
 
-def applicants(spark, n=2000):
+def applicants(spark, n=600):
     """Numbers with gaps and NaN, categories with nulls, a value that occurs in fold 1 alone, and a constant."""
-    rows = spark.range(n, numPartitions=4).withColumn("fold", (F.col("id") % 4).cast("int"))
-    rare = F.when(F.col("id") == 41, "rare").when(F.col("id") % 11 == 0, None)
+    rows = spark.range(n, numPartitions=2).withColumn("fold", (F.col("id") % K).cast("int"))
+    common = F.when(F.col("id") % 11 != 0, (F.col("id") % 3).cast("string"))
     return stage(
         rows.select(
             "*",
             (noise(1) + 0.3 * (F.col("id") % 3) > 0.7).cast("int").alias("label"),
-            F.when(F.col("id") % 7 != 0, F.when(F.col("id") % 13 != 0, noise(1) + noise(2)).otherwise(float("nan"))).alias("a"),
+            F.when(F.col("id") % 7 != 0, F.when(F.col("id") % 13 != 0, 90 * (noise(1) + noise(2))).otherwise(float("nan"))).alias("a"),
             (noise(3) * 9).cast("int").alias("b"),
             F.lit(5).alias("same"),
-            F.coalesce(rare, (F.col("id") % 3).cast("string")).alias("c"),
+            F.when(F.col("id").isin(41, 43, 47), "rare").otherwise(common).alias("c"),
         ),
         "rows",
     )
@@ -34,51 +36,35 @@ def applicants(spark, n=2000):
 @pytest.fixture()
 def fits(monkeypatch):
     seen = []
-    for kind in (Pipeline, LogisticRegression):
+    for kind in (StringIndexer, StandardScaler, LogisticRegression, LinearSVC):
         plain = kind.fit
         monkeypatch.setattr(kind, "fit", lambda self, *a, plain=plain: seen.append(type(self).__name__) or plain(self, *a))
     return seen
 
 
-def validated(rows, estimator, k=4, pipeline=None):
-    predictor = learners.estimator_predictor(estimator)
-    return folds.cross_validate(rows, predictor, k, ["id"], pipeline or prep.prep_pipeline(["a", "b", "same"], ["c"]), fit_scope="fold")
-
+def validated(rows, estimator, by_part=False):
+    """By fold; ``by_part`` hides that these are the stages of ``prep_pipeline``."""
+    pipeline = prep.prep_pipeline(["a", "b", "same"], ["c"])
+    pipeline = Pipeline(stages=pipeline.getStages()) if by_part else pipeline
+    return folds.cross_validate(rows, learners.estimator_predictor(estimator), K, ["id"], pipeline, fit_scope="fold", staged=True)
 
-def plain_pipeline():
-    """The same stages, without the names of their columns."""
-    return Pipeline(stages=prep.prep_pipeline(["a", "b", "same"], ["c"]).getStages())
 
-
-def test_no_fit_by_fold_and_the_same_rows(spark, fits):
+@pytest.mark.parametrize("settings", [{}, {"reg": 0.0}, {"mix": 0.0, "max_iter": 3}])
+def test_slots_are_made_once_with_the_same_rows(spark, fits, settings):
     rows = applicants(spark)
-    shared = {r["id"]: r for r in validated(rows, learners.logreg()).collect()}
-    assert not fits
-    single = {r["id"]: r for r in validated(rows, learners.logreg(), pipeline=plain_pipeline()).collect()}
-    assert len(fits) == 8
-    assert shared.keys() == single.keys() and 41 in shared and len(shared) < 2000
+    shared = {r["id"]: r for r in validated(rows, learners.logreg(**settings)).collect()}
+    assert sorted(fits) == ["LogisticRegression"] * K + ["StringIndexer"]
+    fits.clear()
+    single = {r["id"]: r for r in validated(rows, learners.logreg(**settings), by_part=True).collect()}
+    assert fits.count("StandardScaler") == fits.count("StringIndexer") == K
+    assert shared.keys() == single.keys() and 41 in shared and len(shared) < 600
     for i, row in single.items():
-        assert (shared[i]["fold"], shared[i]["label"]) == (row["fold"], row["label"])
-        assert shared[i]["p1"] == pytest.approx(row["p1"], abs=2e-4) and shared[i]["score"] == pytest.approx(row["score"], abs=1e-3)
-        assert shared[i]["prediction"] == row["prediction"] or abs(row["p1"] - 0.5) < 2e-4
-
-
-def test_the_registered_query_fits_no_fold_alone(spark, sf_dir, fits):
-    from foldwright.checks import queries as q
-
-    assert q.registered()["cross_validate_fold_scope"](spark, sf_dir).count() == 50
-    assert not fits
-
-
-@pytest.mark.parametrize("settings", [{"reg": 0.0}, {"mix": 1.0}, {"max_iter": 3}])
-def test_fits_without_one_solution_are_left(spark, settings):
-    pipeline = prep.prep_pipeline(["a", "b"], ["c"])
-    assert fold_scope_logistic(applicants(spark, 40), learners.logreg(**settings), pipeline, 4) is None
+        assert (shared[i]["fold"], shared[i]["label"], shared[i]["prediction"]) == (row["fold"], row["label"], row["prediction"])
+        assert shared[i]["p1"] == pytest.approx(row["p1"], abs=1e-7) and shared[i]["score"] == pytest.approx(row["score"], abs=1e-6)
 
 
-def test_other_settings_and_three_classes_run_one_by_one(spark, fits):
-    rows = applicants(spark, 300)
-    assert fold_scope_logistic(rows, learners.logreg().setThreshold(0.3), prep.prep_pipeline(["a", "b"], ["c"]), 4) is None
-    three = rows.withColumn("label", (F.col("id") % 3).cast("int"))
-    assert validated(three, learners.logreg()).filter("prediction = 2").count() > 0
-    assert fits.count("LogisticRegression") == 4
+def test_fits_on_given_scales_are_prepared_by_part(spark, fits):
+    validated(applicants(spark, 60), LinearSVC(labelCol="label", maxIter=2))
+    assert fits.count("StandardScaler") == K
+    for other in (learners.logreg().setStandardization(False), learners.logreg().setFitIntercept(False), learners.logreg().setWeightCol("b")):
+        assert not learners.standardizes(other)
