@@ -66,12 +66,12 @@ def choose_k(
     max_iter: int = 50,
     features: str = "features",
 ) -> DataFrame:
-    """``(k, silhouette, chosen)``: all k are fitted and scored together, in shared passes.
+    """``(k, silhouette, chosen)`` by k: all k are fitted and scored together, in shared passes.
 
     The score is null where the rows have fewer than two distinct points.
     """
     scores, _ = kmeans_sweep(df, ks, seed, max_iter, features)
-    return mark_best_k(stage(scores, "silhouettes"))
+    return mark_best_k(stage(scores, "silhouettes")).orderBy("k")
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
