@@ -25,7 +25,8 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain, combinations
+from itertools import chain, combinations, groupby, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -61,7 +62,8 @@ _LONGEST = 48
 _KEPT_WORDS = 300_000
 #: Words of the training sample, the most frequent first, of which it is remembered that they resemble no landmark.
 PLAIN_WORDS = 300_000
-_PIECE = 1 << 22
+#: Signs of the sentences, and numbers of subsequences, that are looked at together; they bound a worker's memory.
+_PIECE, _CELLS = 1 << 20, 1 << 17
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 #: Letters that stand alone one after another: "i d i o t".
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -240,9 +242,10 @@ class Landmarks:
                 piece = bare[start : start + _LONGEST]
                 if len(piece) >= _FEWEST:
                     by_size.setdefault(len(piece), []).append((word, piece))
-        for pairs in by_size.values():
-            for start in range(0, len(pairs), 1024):
-                self._measure(pairs[start : start + 1024])
+        for size, pairs in by_size.items():
+            stretch = max(1, min(1024, _CELLS // len(_places(size + 2)[2])))
+            for start in range(0, len(pairs), stretch):
+                self._measure(pairs[start : start + stretch])
         return known
 
     def _measure(self, pairs: list[tuple[str, str]]) -> None:
@@ -361,32 +364,53 @@ def _sentence_values(landmarks: Landmarks, sentences: list[str]) -> tuple[np.nda
 
 
 def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """The sentences of some million signs, and the numbers of the texts they are from."""
+    """The sentences of about a million signs, or one longer sentence, and the numbers of the texts they are from."""
     owners: list[int] = []
     waiting: list[str] = []
     signs = 0
     for i, text in enumerate(texts):
-        parts = _SENTENCE.split(text.lower())
-        waiting += parts
-        owners += [i] * len(parts)
-        signs += len(text)
-        if signs > _PIECE:
-            yield np.array(owners), waiting
-            owners, waiting, signs = [], [], 0
+        for sentence in _SENTENCE.split(text.lower()):
+            waiting.append(sentence)
+            owners.append(i)
+            signs += len(sentence) + 1
+            if signs > _PIECE:
+                yield np.array(owners), waiting
+                owners, waiting, signs = [], [], 0
     if waiting:
         yield np.array(owners), waiting
 
 
-def measured(landmarks: Landmarks, texts: list[str]) -> Iterator[np.ndarray]:
-    """For each text one row of values for each sentence in which a word resembles a landmark."""
-    rows: list[list[np.ndarray]] = [[] for _ in texts]
+def _suspicious(landmarks: Landmarks, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+    """The values of each sentence in which a word resembles a landmark, after the number of its text, in order."""
     for owners, sentences in _pieces(texts):
         sentence, landmark, values = _sentence_values(landmarks, sentences)
-        cuts = np.flatnonzero(np.diff(sentence, prepend=-1)).tolist()
-        for first, last in zip(cuts, [*cuts[1:], len(sentence)], strict=True):
-            rows[owners[sentence[first]]].append(landmarks.dense((landmark[first:last], values[first:last])))
-    for found in rows:
-        yield np.array(found, dtype=np.float64).reshape(-1, len(landmarks.words))
+        for first, last in pairwise([*np.flatnonzero(np.diff(sentence, prepend=-1)).tolist(), len(sentence)]):
+            yield int(owners[sentence[first]]), landmarks.dense((landmark[first:last], values[first:last]))
+
+
+def measured(landmarks: Landmarks, texts: list[str]) -> Iterator[np.ndarray]:
+    """For each text one row of values for each sentence in which a word resembles a landmark."""
+    rows = groupby(_suspicious(landmarks, texts), key=itemgetter(0))
+    owner, found = next(rows, (None, ()))
+    for i in range(len(texts)):
+        own = []
+        if owner == i:
+            own = [row for _, row in found]
+            owner, found = next(rows, (None, ()))
+        yield np.array(own, dtype=np.float64).reshape(-1, len(landmarks.words))
+
+
+def worst_rows(landmarks: Landmarks, texts: list[str]) -> list[np.ndarray | None]:
+    """For each text the row of the sentence that resembles telling landmarks most, or None if none resembles any.
+
+    One row for each text is kept, however many sentences it has.
+    """
+    worst: list[np.ndarray | None] = [None] * len(texts)
+    most = [-1.0] * len(texts)
+    for i, row in _suspicious(landmarks, texts):
+        if (total := row[: landmarks.telling].sum()) > most[i]:
+            worst[i], most[i] = row, total
+    return worst
 
 
 @dataclass
@@ -603,11 +627,9 @@ def fit_curve(margins: np.ndarray, y: np.ndarray, share: np.ndarray, rounds: int
 def _worst_sentences(landmarks: Landmarks):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for found, label in zip(measured(landmarks, batch["text"].tolist()), batch["label"], strict=True):
-                worst = found[:, : landmarks.telling].sum(axis=1).argmax() if len(found) else None
-                rows.append((label, b"" if worst is None else found[worst].astype(np.float32).tobytes()))
-            yield pd.DataFrame(rows, columns=["label", "values"])
+            worst = worst_rows(landmarks, batch["text"].tolist())
+            values = [b"" if row is None else row.astype(np.float32).tobytes() for row in worst]
+            yield pd.DataFrame({"label": batch["label"].array, "values": values})
 
     return find
 

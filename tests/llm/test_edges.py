@@ -3,8 +3,10 @@
 import json
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -422,6 +424,45 @@ def test_values_of_sentences_are_the_largest_of_their_words():
         assert np.allclose(rows, np.array(expected).reshape(-1, 3)) and len(rows) == len(expected), text
 
 
+def _peak_mb(work) -> float:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_toxicity_does_not_grow_with_a_batch():
+    """Long words, and many sentences that resemble a landmark, in one batch."""
+    letters = [chr(97 + i) for i in range(26)]
+    marks = toxicity.Landmarks(["blockhead", "numbskull", *(f"garden{a}{b}" for a in letters for b in letters[:8])], 2)
+    chance = random.Random(0)
+    words = {"".join(chance.choices(letters, k=24)) for _ in range(2000)}
+    assert _peak_mb(lambda: marks.similar(words)) < 16
+    batch = pd.DataFrame({"text": ["You blockhead went home. A numbskull stays here. " * 100] * 100, "label": 1})
+    found = []
+    assert _peak_mb(lambda: found.extend(toxicity._worst_sentences(marks)(iter([batch])))) < 24
+    assert len(found[0]) == 100 and found[0]["values"].str.len().eq(4 * len(marks.words)).all()
+
+
+def test_worst_sentence_of_each_text(monkeypatch):
+    """However a batch is cut, the first of the worst sentences counts; batches without a suspicious one give no values."""
+    marks = toxicity.Landmarks(["blockhead", "numbskull", "garden"], 2)
+    texts = ["A garden. A blockhead! A blokhead. A numbskull", "nothing", "", "blockhead blockhead\nnumbskull blockhead"]
+    for signs in (1, 12, 1 << 22):
+        monkeypatch.setattr(toxicity, "_PIECE", signs)
+        rows = toxicity.worst_rows(marks, texts)
+        for row, found in zip(rows, toxicity.measured(marks, texts), strict=True):
+            assert (row is None) == (len(found) == 0)
+            if row is not None:
+                assert row.tolist() == found[found[:, :2].sum(axis=1).argmax()].tolist()
+        assert rows[0][0] == pytest.approx(1) and rows[3][1] == pytest.approx(1)
+    batch = pd.DataFrame({"text": ["nothing here", ""], "label": [0, 1]})
+    (made,) = toxicity._worst_sentences(marks)(iter([batch]))
+    assert made["label"].tolist() == [0, 1] and made["values"].tolist() == [b"", b""]
+
+
 def test_every_language_is_drawn(spark):
     """A rare language and one of copies beside a large one, under a small bound."""
     rows = [(i, f"the words of text {i} and more", "en") for i in range(3000)]
