@@ -438,7 +438,7 @@ def test_memory_of_toxicity_does_not_grow_with_a_batch():
     letters = [chr(97 + i) for i in range(26)]
     marks = toxicity.Landmarks(["blockhead", "numbskull", *(f"garden{a}{b}" for a in letters for b in letters[:8])], 2)
     chance = random.Random(0)
-    words = {"".join(chance.choices(letters, k=24)) for _ in range(2000)}
+    words = {"blockhead" + "".join(chance.choices(letters, k=15)) for _ in range(2000)}
     assert _peak_mb(lambda: marks.similar(words)) < 16
     batch = pd.DataFrame({"text": ["You blockhead went home. A numbskull stays here. " * 100] * 100, "label": 1})
     found = []
